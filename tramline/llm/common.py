@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable by Python workers on every executor; once a session's context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tramline_shipped", False):
+        return
+    top = Path(__file__).resolve().parent.parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, str(p.relative_to(top.parent)))
+    path = Path(tempfile.mkdtemp(prefix="tramline-ship-")) / "tramline_package.zip"
+    path.write_bytes(data.getvalue())
+    sc.addPyFile(str(path))
+    sc._tramline_shipped = True
+
+
 def words_of(text: Column) -> Column:
     """Array of words (maximal runs of non-blank characters); null text gives an empty array."""
     parts = F.split(F.coalesce(text, F.lit("")), f"[{BLANK}]+")

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import mixing, quality_rules, sharding
+from tramline.llm import mixing, near_dedup, quality_rules, sharding
 from tramline.llm.common import table
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -25,12 +30,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_near_dedup": op6_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op6_near_dedup": near_dedup.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
     "op10_quality_rules": quality_rules.ORACLE_SQL,
 }
