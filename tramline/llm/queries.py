@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import mixing, near_dedup, quality_rules, sharding
+from tramline.llm import mixing, near_dedup, quality_rules, sharding, site_style_tree, url_filter, warc
 from tramline.llm.common import table
 
 
+#: The rules that the contract of op2 states.
+URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style_tree.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.resolve(warc.captures_of(table(spark, sf_dir, "pages")))
+    return out.select("record_id", "canonical_url", F.unix_timestamp("date").alias("date_s"), "refers_to", "verdict", warc.header_text(F.col("headers")).alias("headers"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -30,7 +47,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
+    "op3_html_extraction": op3_html_extraction,
     "op6_near_dedup": op6_near_dedup,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
@@ -38,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op6_near_dedup": near_dedup.ORACLE_SQL,
+    "op7_warc_revisits": warc.ORACLE_SQL,
     "op8_mixing": mixing.ORACLE_SQL,
     "op10_quality_rules": quality_rules.ORACLE_SQL,
 }
