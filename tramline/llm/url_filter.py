@@ -32,20 +32,24 @@ SYLLABLES = "al ber con dor el fin gar hel is jun kel lor mar nor ol per quin ro
 
 def labelled_urls() -> list[tuple[str, int]]:
     """(url, unwanted 0/1): the built-in small table, for use where no better one is given."""
-    rows = []
+    tail = lambda n: f"{LANGUAGES[n % 4]}/{n * 37 % 1000}{['', '/', '.html', '#top', '?page=2'][n // 4 % 5]}"
+    place = lambda n: f"http{'s' * (n % 2)}://{['www.', 'm.', 'blog.', ''][n // 2 % 4]}"
+    endings = ("com", "net", "org")
+    rows, n = [], 0
     for i, name in enumerate(UNWANTED):
-        for j, ending in enumerate(("com", "net", "org")):
+        for j in range(12):
+            n += 1
             other = UNWANTED[(i * 7 + j * 3 + 1) % len(UNWANTED)]
-            rows += [(f"http://{['www.', 'm.', 'blog.', ''][(i + j) % 4]}{name}-{other}.example.{ending}/{LANGUAGES[(i + j) % 4]}/{i * 31 + j}", 1)]
-            rows += [(f"https://{name}{j}.example.{ending}/{other}/?x={i}", 1)]
+            host = [f"{name}-{other}", f"{other}-{name}", f"{name}{j}", f"{SYLLABLES[n % len(SYLLABLES)]}-{name}"][j % 4]
+            rows.append((f"{place(n)}{host}.example.{endings[n % 3]}/{f'{other}/' * (j % 6 == 5)}{tail(n * 5 + j)}", 1))
     for i, name in enumerate(ORDINARY):
-        for j, ending in enumerate(("com", "net", "org")):
-            other = ORDINARY[(i * 5 + j * 2 + 1) % len(ORDINARY)]
-            for k, language in enumerate(LANGUAGES):
-                rows += [(f"https://{['www.', 'm.', 'blog.', ''][(i + k) % 4]}{name}{['', other][k % 2]}.example.{ending}/{language}/{i * 37 + j * 11 + k}{['', '/', '.html', '#top'][k]}", 0)]
-    for i in range(400):  # names without meaning are ordinary
+        for j in range(6):
+            n += 1
+            rows.append((f"{place(n)}{name}{['', ORDINARY[(i * 5 + j) % len(ORDINARY)]][j % 2]}.example.{endings[n % 3]}/{tail(n * 5 + j)}", 0))
+    for i in range(1500):  # names without meaning are ordinary
+        n += 1
         name = "".join(SYLLABLES[(i * a + b) % len(SYLLABLES)] for a, b in ((7, 0), (11, 3), (17, 5))[: 2 + i % 2])
-        rows.append((f"http{'s' * (i % 2)}://{['www.', 'm.', 'blog.', ''][i % 4]}{name}.example.{('com', 'net', 'org')[i % 3]}/{LANGUAGES[i % 4]}/{i * 13 % 1000}{['', '/', '.html'][i % 3]}", 0))
+        rows.append((f"{place(n)}{name}.example.{endings[n % 3]}/{tail(n * 5 + i)}", 0))
     return rows
 
 
@@ -87,7 +91,7 @@ def split_url(url: str | None) -> tuple[str, str]:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), tail[:end]
 
 
-def fit(labelled: Iterable[tuple[str, int]], rounds: int = 600, rate: float = 10.0, penalty: float = 1e-6) -> tuple[np.ndarray, float]:
+def fit(labelled: Iterable[tuple[str, int]], rounds: int = 400, rate: float = 10.0, penalty: float = 1e-6) -> tuple[np.ndarray, float]:
     """Weights and bias of the logistic regression, by full-batch gradient descent (deterministic)."""
     rows = sorted({(u or "", int(y)) for u, y in labelled})[:MAX_LABELLED]
     weights, bias = np.zeros(DIMENSIONS), 0.0
