@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import mixing, near_dedup, quality_rules, sharding, site_style_tree, url_filter, warc
+from tramline.llm import cotraining, flac, mixing, near_dedup, pieces, quality_rules, sharding, site_style_tree, url_filter, warc
 from tramline.llm.common import table
 
 
+#: The vocabulary file is a parameter; this is where public ones are installed.
+PIECE_MODEL = os.environ.get("TRAMLINE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.digests(flac.encode_texts(table(spark, sf_dir, "documents")))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: The rules that the contract of op2 states.
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
 
@@ -47,8 +64,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_media_columns": op1_media_columns,
     "op2_url_filter": op2_url_filter,
     "op3_html_extraction": op3_html_extraction,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_near_dedup": op6_near_dedup,
     "op7_warc_revisits": op7_warc_revisits,
     "op8_mixing": op8_mixing,

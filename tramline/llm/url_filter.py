@@ -109,8 +109,8 @@ def fit(labelled: Iterable[tuple[str, int]], rounds: int = 400, rate: float = 10
     return weights, float(bias)
 
 
-def judge(pages: DataFrame, rules: Iterable[tuple[str, str]], labelled: DataFrame | Iterable[tuple[str, int]] | None = None, page_id: str = "page_id", url: str = "url") -> DataFrame:
-    """(page_id, host, path, rule, verdict, score): score is the model's probability that the URL is unwanted.
+def judge(pages: DataFrame, rules: Iterable[tuple[str, str]], labelled: DataFrame | Iterable[tuple[str, int]] | None = None, threshold: float = 0.7, page_id: str = "page_id", url: str = "url") -> DataFrame:
+    """(page_id, host, path, rule, verdict, score): score is the model's probability that the URL is unwanted; it blocks from ``threshold`` on, which favours precision.
 
     ``labelled`` is a small table (url, label), at most MAX_LABELLED rows of which are fitted on the driver.
     """
@@ -130,5 +130,5 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str]], labelled: DataFram
     out = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     out = out.withColumn("score", 1 / (1 + F.exp(-(score("host", "path") + F.lit(bias)))))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    out = out.withColumns({"rule": rule, "verdict": F.coalesce(verdict, F.when(F.col("score") >= 0.5, "block").otherwise("allow"))})
+    out = out.withColumns({"rule": rule, "verdict": F.coalesce(verdict, F.when(F.col("score") >= threshold, "block").otherwise("allow"))})
     return out.select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
