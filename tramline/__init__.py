@@ -1,0 +1 @@
+"""Transit network analytics on Spark."""
