@@ -95,8 +95,8 @@ def segments(spans: DataFrame) -> DataFrame:
 def most_covered_period(spans: DataFrame, length: int) -> DataFrame:
     """One row (start, end, cnt): the earliest breakpoint whose window of ``length`` days holds the best covered segment; no row if none is covered."""
     found = segments(spans)
-    inside = found.select(F.col("b0").alias("s0"), F.col("b1").alias("s1"), "cov")
-    best = found.join(inside, (F.col("s0") >= F.col("b0")) & (F.col("s1") <= F.date_add("b0", length)), "inner").groupBy("b0").agg(F.max(inside["cov"]).alias("cnt"))
+    inside = found.select(F.col("b0").alias("s0"), F.col("b1").alias("s1"), F.col("cov").alias("s_cov"))
+    best = found.join(inside, (F.col("s0") >= F.col("b0")) & (F.col("s1") <= F.date_add("b0", length)), "inner").groupBy("b0").agg(F.max("s_cov").alias("cnt"))
     best = best.filter("cnt > 0").orderBy(F.desc("cnt"), "b0").limit(1)
     return best.select(F.col("b0").alias("start"), F.date_add("b0", length).alias("end"), "cnt")
 

@@ -34,4 +34,6 @@ def components(links: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
-    return edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))
+    # every edge now goes from a member to its root; the roots themselves are added
+    members = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("root")), F.struct(F.col("b").alias("id"), F.col("b").alias("root")))
+    return edges.select(F.explode(members).alias("m")).groupBy("m.id").agg(F.min("m.root").alias("root"))

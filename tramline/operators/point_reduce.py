@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.functions.geo import EARTH_RADIUS_M
-from tramline.functions.storage import stored
+from tramline.functions.storage import ship, stored
 from tramline.operators.components import components
 from tramline.operators.spatial import proximity_graph
 
@@ -76,6 +76,7 @@ class Reducer:
 
 def reduce_points(points: DataFrame, max_m: float = MAX_M) -> DataFrame:
     """(id, lat, lon) -> (id, rep, rep_lat, rep_lon): every point is within ``max_m`` of its representative."""
+    ship(points.sparkSession)
     points = stored(points.select("id", "lat", "lon"))
     links = stored(proximity_graph(points, 2 * max_m))
     both = links.unionByName(links.select(F.col("j").alias("i"), F.col("i").alias("j")))

@@ -41,7 +41,7 @@ VIEWS: dict[str, str] = {
  FULL JOIN (SELECT service_id, date, max_by(exception_type, row_idx) AS k FROM g_calendar_dates GROUP BY service_id, date) e ON b.service_id = e.service_id AND b.date = e.date
  WHERE e.k = 1 OR (e.k IS NULL AND b.service_id IS NOT NULL)""",
     "v_days": "SELECT service_id, list_sort(list(DISTINCT isodow(date) - 1)) AS days FROM v_joined GROUP BY service_id",
-    "v_visits": """SELECT r.row_idx - 1 AS line_id, t.trip_id, t.service_id, s.minute, p.number AS stop, p.stop_id, row_number() OVER (PARTITION BY t.trip_id ORDER BY s.minute, s.row_idx, p.number) AS pos
+    "v_visits": """SELECT r.row_idx AS line_id, t.trip_id, t.service_id, s.minute, p.number AS stop, p.stop_id, row_number() OVER (PARTITION BY t.trip_id ORDER BY s.minute, s.row_idx, p.number) AS pos
  FROM v_st s JOIN g_trips t ON s.trip_id = t.trip_id JOIN g_routes r ON t.route_id = r.route_id JOIN v_ok p ON p.stop_id = s.stop_id""",
     "v_trip": "SELECT trip_id, any_value(line_id) AS line_id, any_value(service_id) AS service_id, list(stop ORDER BY pos) AS stops, list(minute ORDER BY pos) AS times FROM v_visits GROUP BY trip_id HAVING count(*) >= 2",
     "v_pattern": "SELECT line_id, stops, times, list_sort(list_distinct(flatten(list(days)))) AS days FROM v_trip JOIN v_days USING (service_id) GROUP BY line_id, stops, times",

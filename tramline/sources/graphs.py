@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.functions.storage import ship
 from tramline.operators.feed_graph import FeedGraph, distinct_edges
 
 #: The messages of the graph format, as (field, type, repeated); numbers count from 1.
@@ -63,6 +64,7 @@ def serialise(stops: list[dict], lines: list[dict], journeys: list[dict]) -> byt
 
 def read_graph_files(spark: SparkSession, path: str, skip: str = r"^graphs_all") -> FeedGraph:
     """The graphs of all .pb files under the path; feed_id is the file's stem."""
+    ship(spark)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb").load(path)
     found = found.withColumn("feed_id", F.regexp_extract("path", r"([^/]*)\.pb$", 1)).filter(~F.col("feed_id").rlike(skip)).select("feed_id", "content")
 
@@ -77,6 +79,7 @@ def read_graph_files(spark: SparkSession, path: str, skip: str = r"^graphs_all")
 
 def graph_messages(graph: FeedGraph, *keys: str) -> DataFrame:
     """(keys..., content): a message for each feed or cell. A message holds one feed or cell whole, as the format wants it."""
+    ship(graph.stops.sparkSession)
     cols = {"stops": [f for f, _, _ in MESSAGES["Stop"]], "lines": [f for f, _, _ in MESSAGES["Line"]], "journeys": [f for f, _, _ in MESSAGES["Journey"]]}
     stops, lines, journeys = (df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*cols[n]))).alias(n)) for n, df in graph._asdict().items())
     whole = stops.join(lines, list(keys), "left").join(journeys, list(keys), "left")

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.functions.storage import ship
+
 #: The files and columns that the engine reads.
 COLUMNS = {
     "stops.txt": "stop_id stop_name stop_lat stop_lon parent_station".split(),
@@ -68,6 +70,7 @@ def feed_of(path: str) -> str:
 
 def files(spark: SparkSession, path: str) -> DataFrame:
     """(path, content) of the archives; one row and task unit an archive."""
+    ship(spark)
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
