@@ -51,15 +51,10 @@ def timed_stops(stop_times: DataFrame) -> DataFrame:
     return df.filter("minute is not null")
 
 
-def in_order(df: DataFrame, *values: str) -> Column:
-    """Aggregate: the values of a trip's stops as an array, by minute and then by file order."""
-    return F.sort_array(F.collect_list(F.struct("minute", "row_idx", *values)))
-
-
 def trip_stop_times(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
     """(feed_id, trip_id, service_id, stops array<struct<minute, row_idx, stop_id>>)."""
     known = last_rows(trips.select("feed_id", "trip_id", "service_id", "row_idx"), "feed_id", "trip_id").drop("row_idx")
-    grouped = timed_stops(stop_times).groupBy("feed_id", "trip_id").agg(in_order(stop_times, "stop_id").alias("stops"))
+    grouped = timed_stops(stop_times).groupBy("feed_id", "trip_id").agg(F.sort_array(F.collect_list(F.struct("minute", "row_idx", "stop_id"))).alias("stops"))
     return grouped.join(known, ["feed_id", "trip_id"])
 
 
@@ -70,10 +65,11 @@ def journey_patterns(stop_times: DataFrame, trips: DataFrame, line_of_route: Dat
     """
     known = last_rows(trips.select("feed_id", "trip_id", "route_id", "service_id", "row_idx"), "feed_id", "trip_id").drop("row_idx")
     known = known.join(line_of_route, ["feed_id", "route_id"]).join(days_of_service.filter(F.size("days") > 0), ["feed_id", "service_id"])
-    timed = timed_stops(stop_times)
-    first = timed.groupBy("feed_id", "trip_id").agg(F.min("row_idx").alias("first_row"))
-    placed = timed.join(stop_numbers, ["feed_id", "stop_id"]).groupBy("feed_id", "trip_id").agg(in_order(timed, "number").alias("s")).filter(F.size("s") >= 2)
-    trips_with = placed.join(known, ["feed_id", "trip_id"]).join(first, ["feed_id", "trip_id"])
+    # one pass over the stop times: unknown stops count for the first row only, as collect_list skips nulls
+    timed = timed_stops(stop_times).join(stop_numbers, ["feed_id", "stop_id"], "left")
+    here = F.sort_array(F.collect_list(F.when(F.col("number").isNotNull(), F.struct("minute", "row_idx", "number"))))
+    placed = timed.groupBy("feed_id", "trip_id").agg(here.alias("s"), F.min("row_idx").alias("first_row")).filter(F.size("s") >= 2)
+    trips_with = placed.join(known, ["feed_id", "trip_id"])
     pattern = trips_with.select("feed_id", "line_id", F.transform("s", lambda x: x["number"]).alias("stops"), F.transform("s", lambda x: x["minute"]).alias("times_within_day"), "days", "first_row")
     merged = pattern.groupBy("feed_id", "line_id", "stops", "times_within_day")
     return merged.agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("days")))).alias("days"), F.min("first_row").alias("first_row"))
