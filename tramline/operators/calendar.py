@@ -123,3 +123,9 @@ def standardize_calendars(joined: DataFrame, length: int = 6) -> DataFrame:
     mapped = mapped.filter("dates is not null").select("feed_id", F.posexplode("dates").alias("day_idx", "date"))
     out = mapped.join(joined, ["feed_id", "date"], "left").groupBy("feed_id", "day_idx", "date")
     return out.agg(F.sort_array(F.collect_set("service_id")).alias("service_ids"))
+
+
+def calendar_json(joined: DataFrame) -> DataFrame:
+    """(feed_id, service_id, dates): each service's sorted ISO dates as a JSON array, for export next to the Parquet table."""
+    iso = F.sort_array(F.collect_set(F.date_format("date", "yyyy-MM-dd")))
+    return joined.groupBy(*KEY).agg(F.to_json(iso).alias("dates"))

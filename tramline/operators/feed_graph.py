@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.functions.dates import segment_minutes, stop_minute
-from tramline.functions.routes import agency_key, line_name, route_type_or_zero, safe_double
+from tramline.functions.routes import agency_key, blank, line_name, route_type_or_zero, safe_double
 from tramline.operators.calendar import joined_calendar_dates, last_rows, service_weekdays
 
 
@@ -121,6 +121,19 @@ def distinct_edges(journeys: DataFrame, *keys: str, loops: bool = False) -> Data
     return (df if loops else df.filter("a <> b")).distinct()
 
 
+def trip_timezones(trips: DataFrame, routes: DataFrame, agency: DataFrame) -> DataFrame:
+    """(feed_id, trip_id, timezone): that of the route's agency; UTC where it is blank or unknown. A route without an agency uses the nameless one."""
+    zones = last_rows(agency.select("feed_id", F.coalesce(blank(column(agency, "agency_id")), F.lit("default")).alias("agency"), F.coalesce(blank(column(agency, "agency_timezone")), F.lit("UTC")).alias("timezone"), "row_idx"), "feed_id", "agency").drop("row_idx")
+    of_route = last_rows(routes.select("feed_id", "route_id", F.coalesce(blank(column(routes, "agency_id")), F.lit("default")).alias("agency"), "row_idx"), "feed_id", "route_id").drop("row_idx")
+    known = of_route.join(zones, ["feed_id", "agency"], "left")
+    return trips.select("feed_id", "trip_id", "route_id").join(known, ["feed_id", "route_id"], "left").select("feed_id", "trip_id", F.coalesce(F.trim("timezone"), F.lit("UTC")).alias("timezone"))
+
+
+def used_stops(journeys: DataFrame, *keys: str) -> DataFrame:
+    """(keys..., stop_id) on any journey."""
+    return journeys.select(*keys, F.explode("stops").alias("stop_id")).distinct()
+
+
 Predicate = Callable[[Column], Column]
 
 

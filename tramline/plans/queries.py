@@ -540,3 +540,46 @@ def b08_geojson_points(spark: SparkSession, d: str) -> DataFrame:
 def b09_image_segments(spark: SparkSession, d: str) -> DataFrame:
     out = exports.image_segments(*feeds_graph(spark, d), "feed_id")
     return out.groupBy("feed_id", F.col("line_id").cast("long").alias("line_id"), "color").agg(F.count("*").alias("n"))
+
+
+# --- smaller operators
+
+
+@query("SELECT p_partkey AS k, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE CAST(p_size AS DOUBLE) / 4 END AS x FROM part")
+def c07_safe_double(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey") % 5
+    s = F.when(k == 0, "NaN").when(k == 1, "x1").when(k == 2, "").otherwise(F.concat(F.lit(" "), (F.col("p_size") / 4).cast("string")))
+    return frame(spark, d, "part").select(F.col("p_partkey").alias("k"), routes.safe_double(s).alias("x"))
+
+
+@query("""SELECT t.trip_id, CASE WHEN r.agency_id IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21') THEN 'Europe/Berlin' ELSE 'UTC' END AS timezone FROM g_trips t LEFT JOIN g_routes r USING (route_id)""")
+def e02_trip_timezones(spark: SparkSession, d: str) -> DataFrame:
+    t = tables(spark, d)
+    agency = spark.createDataFrame([("F", f"Brand#{n}", "Europe/Berlin", n) for n in (11, 12, 13, 21)] + [("F", "Brand#22", " ", 22)], "feed_id string, agency_id string, agency_timezone string, row_idx long")
+    return feed_graph.trip_timezones(t["trips"], t["routes"], agency).select("trip_id", "timezone")
+
+
+@query(GOOD_ROUTES)
+def f19_valid_routes(spark: SparkSession, d: str) -> DataFrame:
+    return feed_graph.valid_routes(tables(spark, d)["routes"], routes.is_bus_or_ferry_route_type).select("route_id")
+
+
+@query("SELECT DISTINCT unnest(stops) AS stop_id FROM v_pattern")
+def f17_used_stops(spark: SparkSession, d: str) -> DataFrame:
+    return feed_graph.used_stops(patterns(spark, d)).select(F.col("stop_id").cast("long").alias("stop_id"))
+
+
+@query("""SELECT service_id, concat('["', string_agg(strftime(date, '%Y-%m-%d'), '","' ORDER BY date), '"]') AS dates FROM v_joined WHERE date < DATE '1998-01-01' GROUP BY service_id""")
+def b04_calendar_json(spark: SparkSession, d: str) -> DataFrame:
+    return calendar.calendar_json(_joined(spark, d).filter("date < date '1998-01-01'")).select("service_id", "dates")
+
+
+@query("SELECT p.trip_id, concat('F:', r.agency_id) AS agency, len(p.stops) AS n FROM v_trip p JOIN v_days USING (service_id) JOIN g_routes r ON r.row_idx = p.line_id")
+def e17_journey_agency(spark: SparkSession, d: str) -> DataFrame:
+    t = tables(spark, d)
+    line = feed_graph.lines(t["routes"]).select("feed_id", "route_id", "agency_id")
+    days = calendar.service_weekdays(calendar.joined_calendar_dates(t["calendar"], t["calendar_dates"]))
+    valid = feed_graph.valid_stops(t["stops"]).select("feed_id", "stop_id")
+    visits = feed_graph.timed_stops(t["stop_times"]).join(valid, ["feed_id", "stop_id"], "left_semi").groupBy("feed_id", "trip_id").agg(F.count("*").alias("n")).filter("n >= 2")
+    trips = t["trips"].join(visits, ["feed_id", "trip_id"]).join(days, ["feed_id", "service_id"], "left_semi").join(line, ["feed_id", "route_id"])
+    return trips.select("trip_id", F.col("agency_id").alias("agency"), "n")
