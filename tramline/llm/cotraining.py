@@ -87,15 +87,15 @@ def raw(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
-def platt(columns: np.ndarray, y: np.ndarray, steps: int = 40) -> np.ndarray:
-    """Calibration: logistic regression on few scores by Newton steps, with a little ridge and smoothed targets."""
+def platt(columns: np.ndarray, y: np.ndarray, steps: int = 40, ridge: float = 1e-3) -> np.ndarray:
+    """Calibration: logistic regression on few scores by Newton steps, with a ridge and smoothed targets."""
     x = np.hstack([columns, np.ones((len(columns), 1))]).astype(float)
     hi, lo = (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)
     target, w = np.where(y > 0.5, hi, lo), np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(w))
-        w = w - np.linalg.solve(hessian, x.T @ (p - target) + 1e-3 * w)
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        w = w - np.linalg.solve(hessian, x.T @ (p - target) + ridge * w)
     return w
 
 
@@ -129,7 +129,7 @@ def train(text: np.ndarray, page: np.ndarray, y: np.ndarray, held: np.ndarray) -
                 best = best[free[best] & (sure[best] >= CONFIDENT)]
                 taught[other][best], use[other][best] = label, True
                 handed += len(best)
-    both = platt(np.column_stack([chance_logit(s, c) for s, c in zip(scores, scales, strict=True)])[held], y[held].astype(float))
+    both = platt(np.column_stack([chance_logit(s, c) for s, c in zip(scores, scales, strict=True)])[held], y[held].astype(float), ridge=1.0)  # a view that hardly varies gets no large weight
     return {"base": base, "weights": weights, "scales": scales, "both": both, "handed": handed}
 
 
@@ -163,6 +163,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_on(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, label: str = "quality") -> dict:
     """The model, fitted on the bounded sample of ``docs`` (doc_id, text, lang, source, n_chars) and ``labels`` (doc_id, 0/1)."""
+    ship(docs.sparkSession)
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
     by_hash = F.xxhash64(F.lit(91), "doc_id")
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     here = docs.select("doc_id").distinct()
