@@ -107,7 +107,7 @@ class Lattices:
         self._upto = Growing(np.float32)  # of each edge: probability of this edge and those before it
         self._log_p, self._log_rest = Growing(np.float32), Growing(np.float32)
         self._next = Growing(np.int64)  # node, or -1 at the unit's end
-        self._code = Growing(np.int32)  # piece, or minus a character that is spelled in bytes
+        self._code = Growing(np.int32)  # piece, or -1 less a character that is spelled in bytes
 
     root, first, upto, log_p, log_rest, next, code = (property(lambda self, k=k: getattr(self, k).data[: getattr(self, k).n]) for k in ("_root", "_first", "_upto", "_log_p", "_log_rest", "_next", "_code"))
 
@@ -151,7 +151,7 @@ class Lattices:
         start, length = np.concatenate(starts), np.concatenate(lengths)
         c = codes[spelled]
         n_bytes = np.where(c == OWN_MARK, 3, 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
-        code = np.concatenate([*pieces, -c]).astype(np.int32)
+        code = np.concatenate([*pieces, -c - 1]).astype(np.int32)
         score = np.concatenate([self.v.log_p[np.concatenate(pieces)], n_bytes * self.v.byte_log_p])
         order = np.argsort(start * 64 + (63 - length), kind="stable")  # runs in order already: a merge
         start, length, code, score = start[order], length[order], code[order], score[order]
@@ -218,6 +218,11 @@ class Lattices:
         return out, count
 
 
+def log_inclusion(x: float) -> float:
+    """ln(1 - exp(-exp(x))): the log-probability of a Gumbel value above the threshold; stable where it is far too small for a float."""
+    return x if x < -30 else 0.0 if x > 5 else float(np.log(-np.expm1(-np.exp(x))))
+
+
 def _first_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums before each value, within each run."""
     total = np.concatenate([[0.0], np.cumsum(values)])
@@ -225,7 +230,7 @@ def _first_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
-    """For each text up to k distinct segmentations: (ids, log-probability, perturbed value, inclusion probability), best value first."""
+    """For each text up to k distinct segmentations: (ids, log-probability, perturbed value, log of the inclusion probability), best value first."""
     if len(lattices.ids) > MAX_UNITS or len(lattices.code) > MAX_EDGES:
         lattices.clear()
     units = [lattices.units(t) for t in texts]
@@ -302,8 +307,7 @@ def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int) -> l
         top = max((x[0] for x in open_[d]), default=-np.inf)
         rows = []
         for path, log_p, v in results[d]:
-            with np.errstate(over="ignore"):
-                inclusion = 1.0 if len(results[d]) < k or top == -np.inf else float(-np.expm1(-np.exp(log_p - top)))
+            inclusion = 0.0 if len(results[d]) < k or top == -np.inf else log_inclusion(log_p - top)
             rows.append((_spell(L, code_of[path]), log_p, v, inclusion))
         final.append(rows)
     return final
@@ -314,12 +318,12 @@ def _spell(L: Lattices, code: np.ndarray) -> np.ndarray:
     odd = np.flatnonzero(code < 0)
     if not len(odd):
         return code
-    low = odd[code[odd] > -128]
-    code[low] = L.ascii[-code[low]]
+    low = odd[code[odd] >= -128]
+    code[low] = L.ascii[-code[low] - 1]
     odd = odd[code[odd] < 0]
     if not len(odd):
         return code
-    spelled = [L.v.bytes_ids(-int(c)) for c in code[odd]]
+    spelled = [L.v.bytes_ids(-int(c) - 1) for c in code[odd]]
     times = np.ones(len(code), np.int64)
     times[odd] = [len(x) for x in spelled]
     out = np.repeat(code, times)

@@ -3,8 +3,8 @@
 The sampler is a Gumbel top-k without replacement over the unigram lattice of the vocabulary's pieces (see piece_lattice), seeded by the row's key: the
 same key, text and model give the same samples on any cluster. Vocabulary models are given by path and never trained.
 
-Defined results: null or empty text has one segmentation without ids, of probability 1; a text with fewer than k segmentations gives all of them, each with
-inclusion probability 1; a null key is a key of its own; repeated rows give equal results each; characters without a piece are spelled in bytes, so decoding
+Defined results: null or empty text has the segmentation of the blank that encoding puts in front; a text with fewer than k segmentations gives all of them, each with
+log inclusion probability 0; a null key is a key of its own; repeated rows give equal results each; characters without a piece are spelled in bytes, so decoding
 gives back every text exactly; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from tramline.llm.shingles import U, chunks, mix
 
 SAMPLES = 2
 SEED = 20_240_777
-SCHEMA = "doc_id long, sample int, ids array<int>, n_pieces int, log_prob double, value double, inclusion double, round_trip boolean"
+SCHEMA = "doc_id long, sample int, ids array<int>, n_pieces int, log_prob double, value double, log_inclusion double, round_trip boolean"
 
 _known: dict[int, Lattices] = {}
 
@@ -51,7 +52,7 @@ def encode(docs: DataFrame, model_path: str, samples: int = SAMPLES, seed: int =
                 at += len(part)
                 seeds = mix(np.array([(0 if k is None else k * 2 + 1) & (2**64 - 1) for k in own], U) ^ U(seed))
                 drawn = sample(lattices, [t.decode() for t in part], seeds, samples)
-                rows = [(k, j + 1, *r, t) for k, t, found in zip(own, part, drawn, strict=True) for j, r in enumerate(found or [(np.zeros(0, np.int32), 0.0, 0.0, 1.0)])]
+                rows = [(k, j + 1, *r, t) for k, t, found in zip(own, part, drawn, strict=True) for j, r in enumerate(found or [(np.zeros(0, np.int32), 0.0, 0.0, 0.0)])]
                 ids = [r[2] for r in rows]
                 back = [b"".join(map(lattices.v.bytes_of.__getitem__, x.tolist()))[1:] == r[-1] for x, r in zip(ids, rows, strict=True)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -61,7 +62,7 @@ def encode(docs: DataFrame, model_path: str, samples: int = SAMPLES, seed: int =
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))), pa.array(np.diff(offsets)),
                         *(pa.array([r[k] for r in rows], pa.float64()) for k in (3, 4, 5)), pa.array(back),
                     ],
-                    names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "value", "inclusion", "round_trip"],
+                    names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "value", "log_inclusion", "round_trip"],
                 )
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
@@ -74,7 +75,7 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", out: str = "te
         model = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     @F.pandas_udf("string")
-    def text_of(batches: Iterator) -> Iterator:
+    def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = lattices_of(model.value).v
         for batch in batches:
             yield batch.map(lambda x: None if x is None else v.decode(list(x)))
