@@ -179,8 +179,9 @@ class Lattices:
         log_p = np.minimum(log_p - mass[start], 0.0)
         p = np.exp(log_p)
         first = np.searchsorted(start, np.arange(n + 1))
-        total = np.concatenate([[0.0], np.cumsum(p)])
-        upto = total[1:] - total[first[start]]
+        # whole numbers add up alike whatever else is in the batch
+        total = np.concatenate([[0], np.cumsum(np.rint(p * 2.0**40).astype(np.int64))])
+        upto = (total[1:] - total[first[start]]) * 2.0**-40
         upto[first[1:] - 1] = 2.0  # a place's last edge takes what rounding leaves
         alone = np.diff(first)[start] == 1
         rest = np.where(alone, -np.inf, np.log(np.maximum(-np.expm1(log_p), 1e-300)))
@@ -223,12 +224,6 @@ def log_inclusion(x: float) -> float:
     return x if x < -30 else 0.0 if x > 5 else float(np.log(-np.expm1(-np.exp(x))))
 
 
-def _first_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums before each value, within each run."""
-    total = np.concatenate([[0.0], np.cumsum(values)])
-    return total[:-1] - np.repeat(total[bounds[:-1]], np.diff(bounds))
-
-
 def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to k distinct segmentations: (ids, log-probability, perturbed value, log of the inclusion probability), best value first."""
     if len(lattices.ids) > MAX_UNITS or len(lattices.code) > MAX_EDGES:
@@ -239,15 +234,15 @@ def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int) -> l
     root = L.root
     value = -np.log(-np.log(uniform(seeds, np.full(n, 1 << 60))))  # the root's Gumbel value
     results: list[list] = [[] for _ in range(n)]
-    #: of each text: open nodes (value, edges before it, step's first units, excluded edges)
+    #: of each text: open nodes (value, the sample they branch from, step, edges already taken)
     open_: list[list] = [[] for _ in range(n)]
     first, log_p_of, code_of = L.first, L.log_p, L.code
-    todo = [(d, None, np.zeros(0, np.int64), 0, -1) for d in range(n) if len(units[d])]  # text, -, edges so far, next unit, node inside the unit before it
+    todo = [(d, np.zeros(0, np.int64), 0, -1) for d in range(n) if len(units[d])]  # text, edges so far, next unit, node inside the unit before it
     for r in range(k):
         if not todo:
             break
         nodes, seed, place, owner = [], [], [], []
-        for d, _, _, unit, inside in todo:
+        for d, _, unit, inside in todo:
             own = root[units[d][unit + (inside >= 0) :]]
             if inside >= 0:
                 own = np.concatenate([[inside], own])
@@ -258,18 +253,18 @@ def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int) -> l
         edges, count = L.walk(np.concatenate(nodes), np.concatenate(seed), np.concatenate(place))
         cut = np.concatenate([[0], np.cumsum(sizes)])
         steps = np.concatenate([[0], np.cumsum(count)])[cut]
-        paths, befores = [], []
-        for j, (d, _, so_far, unit, inside) in enumerate(todo):
+        paths = []
+        for j, (d, so_far, _, _) in enumerate(todo):
             paths.append(np.concatenate([so_far, edges[steps[j] : steps[j + 1]]]))
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in paths])])
         every = np.concatenate(paths)
         log_p = log_p_of[every].astype(np.float64)
-        before = _first_sums(log_p, bounds)
-        rest = before + L.log_rest[every]
-        for j, (d, _, so_far, unit, inside) in enumerate(todo):
+        log_rest = L.log_rest[every]
+        for j, (d, so_far, _, _) in enumerate(todo):
             a, b = bounds[j], bounds[j + 1]
-            results[d].append([every[a:b], float(before[b - 1] + log_p[b - 1]), float(value[d])])
-            own = rest[a + len(so_far) : b]
+            sums = np.cumsum(log_p[a:b])
+            results[d].append([every[a:b], float(sums[-1]), float(value[d])])
+            own = (sums - log_p[a:b] + log_rest[a:b])[len(so_far) :]
             if len(own) and np.isfinite(top := own.max()):
                 near = np.flatnonzero(own >= top - GUMBEL_REACH)
                 e = -np.log(uniform(np.full(len(near), seeds[d], U), near + len(so_far) + ((r + 1) << 40) + (1 << 61)))
@@ -301,7 +296,7 @@ def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int) -> l
             value[d] = v
             so_far = np.append(path[:s], edge)
             unit = int((L.next[so_far] < 0).sum())
-            todo.append((d, None, so_far, unit, int(L.next[edge])))
+            todo.append((d, so_far, unit, int(L.next[edge])))
     final = []
     for d in range(n):
         top = max((x[0] for x in open_[d]), default=-np.inf)
