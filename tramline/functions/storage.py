@@ -27,8 +27,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that Arrow hands to Python at a time, at most: whole texts and pages can be long.
+ARROW_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Makes this package importable by Python workers on every executor; once a session's context."""
+    """Makes this package importable by Python workers on every executor, once a session's context, and keeps Arrow batches small."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_tramline_shipped", False):
         return
