@@ -19,57 +19,73 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.common import unit_interval
+from tramline.llm.common import let, unit_interval
 
-ROWS_PER_BLOCK = 20_000
+ROWS_PER_BLOCK = 50_000
 SEED = 20_240_601
 
 
 def log_factorial(x: Column) -> Column:
     """ln(x!) by Stirling's series after a shift by 8, with an error below 1e-12."""
-    z = x.cast("double") + 1.0
-    shift = z
-    for k in range(1, 8):
-        shift = shift * (z + float(k))
-    y = z + 8.0
-    series = (y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1.0 / (12.0 * y) - 1.0 / (360.0 * y * y * y) + 1.0 / (1260.0 * y * y * y * y * y)
-    return series - F.log(shift)
+
+    def of(z: Column) -> Column:
+        y = z + 8.0
+        return (y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1.0 / (12.0 * y) - 1.0 / (360.0 * F.pow(y, F.lit(3.0))) + 1.0 / (1260.0 * F.pow(y, F.lit(5.0)))
+
+    def shift(z: Column) -> Column:
+        out = z
+        for k in range(1, 8):
+            out = out * (z + float(k))
+        return F.log(out)
+
+    return let(x.cast("double") + 1.0, lambda z: of(z) - shift(z))
 
 
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
-    """Number of good items among ``draws`` out of ``total``: inverse transform of u, walking outwards from the mode."""
-    lo = F.greatest(F.lit(0).cast("long"), draws + good - total)
-    hi = F.least(good, draws)
-    mode = F.least(hi, F.greatest(lo, F.floor((draws + 1).cast("double") * (good + 1).cast("double") / (total + 2).cast("double"))))
-    bad = total - good
-    log_p = (
-        log_factorial(good) - log_factorial(mode) - log_factorial(good - mode)
-        + log_factorial(bad) - log_factorial(draws - mode) - log_factorial(bad - draws + mode)
-        - log_factorial(total) + log_factorial(draws) + log_factorial(total - draws)
-    )
-    share = good.cast("double") / F.greatest(total, F.lit(1)).cast("double")
-    sd = F.sqrt(draws.cast("double") * share * (1.0 - share))
-    reach = F.least(hi - lo, F.ceil(sd * 12.0 + 40.0).cast("long"))
+    """Number of good items among ``draws`` out of ``total``: inverse transform of u, walking outwards from the mode.
+
+    Every intermediate value is bound once, so the expression stays small.
+    """
+    zero = F.lit(0).cast("long")
     d = lambda c: c.cast("double")
 
-    def step(acc: Column, _: Column) -> Column:
-        a, b = acc["up"], acc["down"]
-        # weights of the next value above and below
-        up_w = F.when(a < hi, acc["pu"] * d(good - a) * d(draws - a) / (d(a + 1) * d(bad - draws + a + 1))).otherwise(F.lit(0.0))
-        down_w = F.when(b > lo, acc["pd"] * d(b) * d(bad - draws + b) / (d(good - b + 1) * d(draws - b + 1))).otherwise(F.lit(0.0))
-        left = acc["left"]
-        take_up = (left > 0) & (left <= up_w)
-        take_down = (left > up_w) & (left <= up_w + down_w)
-        return F.struct(
-            F.when(left <= 0, left).when(take_up | take_down, F.lit(-1.0)).otherwise(left - up_w - down_w).alias("left"),
-            F.least(hi, a + 1).alias("up"), F.greatest(lo, b - 1).alias("down"), up_w.alias("pu"), down_w.alias("pd"),
-            F.when(take_up, F.least(hi, a + 1)).when(take_down, F.greatest(lo, b - 1)).otherwise(acc["got"]).alias("got"),
-        )
-
-    p0 = F.exp(log_p)
-    start = F.struct((u - p0).alias("left"), mode.alias("up"), mode.alias("down"), p0.alias("pu"), p0.alias("pd"), mode.alias("got"))
-    walked = F.aggregate(F.sequence(F.lit(1).cast("long"), reach), start, step, lambda acc: acc["got"])
-    return F.when(hi <= lo, lo).otherwise(walked)
+    def start(a: Column) -> Column:
+        lo, hi = F.greatest(zero, a["draws"] + a["good"] - a["total"]), F.least(a["good"], a["draws"])
+        peak = F.floor(d(a["draws"] + 1) * d(a["good"] + 1) / d(a["total"] + 2))
+        share = d(a["good"]) / d(F.greatest(a["total"], F.lit(1)))
+        reach = F.ceil(F.sqrt(d(a["draws"]) * share * (1.0 - share)) * 12.0 + 40.0).cast("long")
+        return F.struct(*[a[k].alias(k) for k in ("total", "good", "draws", "u")], (a["total"] - a["good"]).alias("bad"), lo.alias("lo"), hi.alias("hi"), F.least(hi, F.greatest(lo, peak)).alias("mode"), F.least(hi - lo, reach).alias("reach"))
+
+    def walk(a: Column) -> Column:
+        m = a["mode"]
+        ways = lambda n, k: log_factorial(n) - log_factorial(k) - log_factorial(n - k)
+        log_p = ways(a["good"], m) + ways(a["bad"], a["draws"] - m) - ways(a["total"], a["draws"])
+
+        def step(acc: Column, _: Column) -> Column:
+            x, y = acc["up"], acc["down"]
+            # weights of the next value above and below
+            up = F.when(x < a["hi"], acc["pu"] * d(a["good"] - x) * d(a["draws"] - x) / (d(x + 1) * d(a["bad"] - a["draws"] + x + 1))).otherwise(F.lit(0.0))
+            down = F.when(y > a["lo"], acc["pd"] * d(y) * d(a["bad"] - a["draws"] + y) / (d(a["good"] - y + 1) * d(a["draws"] - y + 1))).otherwise(F.lit(0.0))
+
+            def moved(w: Column) -> Column:
+                left, above, below = acc["left"], F.least(a["hi"], x + 1), F.greatest(a["lo"], y - 1)
+                is_up, is_down = (left > 0) & (left <= w["up"]), (left > w["up"]) & (left <= w["up"] + w["down"])
+                return F.struct(
+                    F.when(left <= 0, left).when(is_up | is_down, F.lit(-1.0)).otherwise(left - w["up"] - w["down"]).alias("left"),
+                    above.alias("up"), below.alias("down"), w["up"].alias("pu"), w["down"].alias("pd"),
+                    F.when(is_up, above).when(is_down, below).otherwise(acc["got"]).alias("got"),
+                )
+
+            return let(F.struct(up.alias("up"), down.alias("down")), moved)
+
+        def run(p: Column) -> Column:
+            first = F.struct((a["u"] - p).alias("left"), m.alias("up"), m.alias("down"), p.alias("pu"), p.alias("pd"), m.alias("got"))
+            return F.aggregate(F.sequence(F.lit(1).cast("long"), a["reach"]), first, step, lambda acc: acc["got"])
+
+        return F.when(a["hi"] <= a["lo"], a["lo"]).otherwise(let(F.exp(log_p), run))
+
+    given = F.struct(total.alias("total"), good.alias("good"), draws.alias("draws"), u.alias("u"))
+    return let(let(given, start), walk)
 
 
 def communication_matrix(sizes: DataFrame, n_blocks: int, n_shards: int, seed: int = SEED) -> DataFrame:
@@ -92,7 +108,7 @@ def communication_matrix(sizes: DataFrame, n_blocks: int, n_shards: int, seed: i
 
         def one(acc: Column, s: Column) -> Column:
             got = hypergeometric(acc["total"], F.get("caps", s), acc["draws"], unit_interval(seed, F.col("node"), s))
-            return F.struct((acc["total"] - F.get("caps", s)).alias("total"), (acc["draws"] - got).alias("draws"), F.concat(acc["out"], F.array(got)).alias("out"))
+            return let(got, lambda g: F.struct((acc["total"] - F.get("caps", s)).alias("total"), (acc["draws"] - g).alias("draws"), F.concat(acc["out"], F.array(g)).alias("out")))
 
         left = F.aggregate(F.sequence(F.lit(0), F.lit(n_shards - 1)), F.struct(total.alias("total"), draws.alias("draws"), F.array().cast("array<bigint>").alias("out")), one, lambda acc: acc["out"])
         node = node.withColumn("left", left)
