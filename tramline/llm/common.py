@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import io
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.functions.storage import ship  # noqa: F401  used by the operators
+from tramline.functions.storage import stored as materialise  # noqa: F401
+
 #: Fixed value: the blank characters between words (space, TAB, LF, VT, FF, CR), as a regex class body.
 BLANK = r"\x20\x09-\x0D"
 
@@ -21,22 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Makes this package importable by Python workers on every executor; once a session's context."""
-    sc = spark.sparkContext
-    if getattr(sc, "_tramline_shipped", False):
-        return
-    top = Path(__file__).resolve().parent.parent
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, str(p.relative_to(top.parent)))
-    path = Path(tempfile.mkdtemp(prefix="tramline-ship-")) / "tramline_package.zip"
-    path.write_bytes(data.getvalue())
-    sc.addPyFile(str(path))
-    sc._tramline_shipped = True
-
-
 def words_of(text: Column) -> Column:
     """Array of words (maximal runs of non-blank characters); null text gives an empty array."""
     parts = F.split(F.coalesce(text, F.lit("")), f"[{BLANK}]+")
@@ -47,30 +28,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a folder of our own only where none is set (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="tramline-checkpoint-")
-        spark.sparkContext.setCheckpointDir(path)
-        path = spark.sparkContext.getCheckpointDir()
-    return path
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Writes the rows as a Parquet table in the shared folder and reads them back.
-
-    Cuts the lineage: a lost executor costs a re-read of shared storage, never a recomputation, and no
-    executor-local file is needed later.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tramline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def unit_interval(*parts: Column | str | int) -> Column:
     """Uniform double in (0, 1) that is a pure function of the given values."""
     cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]
