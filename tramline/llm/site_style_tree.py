@@ -194,7 +194,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float
     own = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), parts_of(F.col(url))[0].alias("host"), F.col(html).alias("html"))
     parsed = materialise(own.mapInArrow(_parse_batches, PARSED))
     low = importance(parsed).filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-    low = low.groupBy(F.col("host").alias("low_host")).agg(F.collect_list("k").alias("low"))
+    # written first, so that Spark knows its size: a small table is broadcast and no text is exchanged, a large one is joined by host
+    low = materialise(low.groupBy(F.col("host").alias("low_host")).agg(F.collect_list("k").alias("low")))
     out = parsed.join(low, F.col("host") == F.col("low_host"), "left").withColumn("low", F.coalesce("low", F.array().cast("array<bigint>")))
     kept = F.filter("blocks", lambda b: (b["role"] == MAIN) | ~F.array_contains("low", b["k"]))
     out = out.select("page_id", "url", kept.alias("kept"), F.size("blocks").alias("n"))
