@@ -24,8 +24,8 @@ UNIT = re.compile(r"\n| *[^ \n]+| +")
 BLANK_MARK, OWN_MARK = 0x2581, 0x110001
 #: Pieces are taken to follow a Zipf-Mandelbrot law in the order of the vocabulary's scores.
 ZIPF_SHIFT = 2.7
-MAX_UNITS = 250_000
-MAX_EDGES = 8_000_000
+MAX_UNITS = 120_000
+MAX_EDGES = 4_000_000
 #: Largest value of -log(-log(u)), with a margin.
 GUMBEL_REACH = 45.0
 STEP = U((BASE * 7) % (1 << 64) | 1)

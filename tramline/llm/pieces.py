@@ -64,6 +64,7 @@ def encode(docs: DataFrame, model_path: str, samples: int = SAMPLES, seed: int =
                     ],
                     names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "value", "log_inclusion", "round_trip"],
                 )
+        lattices.clear()  # an idle worker holds the vocabulary only; common units are soon built again
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
 
