@@ -94,6 +94,18 @@ def test_odd_near_duplicates(spark, odd, empty):
     assert near_dedup.groups(empty).count() == 0 and near_dedup.deduplicated(empty).columns == empty.columns
 
 
+def test_links_below_many_failed_centres(spark):
+    """Texts of one template at 0.83 share buckets without a link; pairs at 0.86 among them are found whichever members fail first."""
+    template = [f"t{i}" for i in range(402)]
+    own = lambda i, n: [f"u{i}x{j}" for j in range(n)]
+    text = lambda i: " ".join(template + (own(1000 + i // 2, 9) + own(i, 32) if i < 40 else own(i, 41)))
+    rows = [(i, text(i), "en", "s") for i in range(120)]
+    expected = brute_components(rows, 3, 85)
+    assert sum(expected[i][1] != i for i in range(120)) == 20
+    got = {r.doc_id: r.component_id for r in near_dedup.groups(frame(spark, rows), 3, 85).collect()}
+    assert got == {i: x[1] for i, x in expected.items()}
+
+
 def test_shingles_match_words():
     texts = [t.encode() for t in ("A b\tc a B C", "a", "", "x " * 50)]
     sets = list(shingles.shingle_sets(texts, 3))

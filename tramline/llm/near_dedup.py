@@ -5,8 +5,9 @@
 3. A bucket yields a star, not all pairs: its centre is the member that shares buckets with the most others (near a group's
    original), and each other member is compared with the centre only. Candidate edges are thus fewer than bucket entries.
 4. Edges are confirmed by exact Jaccard similarity of the full sets, and confirmed links are merged to components.
-5. Buckets that still hold several components get another centre from the remaining ones, compared with all members of other
-   components; this goes on until a round confirms nothing new.
+5. A member that was a centre is done in that bucket. Buckets whose other members still belong to several components get further
+   centres, compared with all members of other components, twice as many in each round; a bucket is closed only when the members that
+   were no centre are one component. Every pair of a bucket is thus compared, in one component already, or ruled out by its sizes.
 
 Defined results: null or empty texts, and texts of blanks, have no shingles and stand alone; documents without an id take no part in links and
 get no component; rows with the same id are one document; an empty table gives an empty result; extra columns are ignored.
@@ -84,6 +85,11 @@ def _alike(percent: int):
     return 100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")
 
 
+def _pairs(compared: DataFrame) -> DataFrame:
+    """The distinct pairs (x, y) of member and centre, the smaller node first."""
+    return compared.select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y")).distinct()
+
+
 def groups(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per input row."""
     ship(docs.sparkSession)
@@ -101,24 +107,30 @@ def groups(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "d
 
     first = F.max(F.struct("weight", (-F.col("rep")).alias("less"), "node", "n"))
     centre = shared.groupBy(F.col("bucket").alias("c_bucket")).agg(first.alias("c")).select("c_bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"))
-    edges = shared.join(centre, F.col("bucket") == F.col("c_bucket")).filter((F.col("node") != F.col("centre")) & _alike(percent))
-    links = materialise(confirmed(edges.select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct(), sets, percent))
-    roots = components(links)
+    undone = shared.join(centre, F.col("bucket") == F.col("c_bucket")).filter(F.col("node") != F.col("centre"))
+    tried = materialise(_pairs(undone.filter(_alike(percent))))
+    links = materialise(confirmed(tried, sets, percent))
+    roots, centres = materialise(components(links)), 1
     while True:
-        roots = materialise(roots)
-        now = shared.join(roots, F.col("rep") == F.col("id"), "left").withColumn("root", F.coalesce("root", "rep"))
+        now = undone.join(roots, F.col("rep") == F.col("id"), "left").select("bucket", "node", "rep", "n", "weight", F.coalesce("root", "rep").alias("root"))
         strongest = F.max(F.struct("weight", (-F.col("rep")).alias("less"), "root"))
         open_ = now.groupBy(F.col("bucket").alias("c_bucket")).agg(strongest.alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
         rest = now.join(open_.select("c_bucket", F.col("c.root").alias("c_root")), F.col("bucket") == F.col("c_bucket"))
         rest = materialise(rest.select("bucket", "node", "rep", "n", "weight", "root", "c_root"))
-        second = rest.filter("root <> c_root").groupBy(F.col("bucket").alias("c_bucket")).agg(F.max(F.struct("weight", (-F.col("rep")).alias("less"), "node", "n", "root")).alias("c"))
-        second = second.select("c_bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"), F.col("c.root").alias("s_root"))
-        more = rest.join(second, F.col("bucket") == F.col("c_bucket")).filter((F.col("root") != F.col("s_root")) & _alike(percent))
-        fresh = materialise(confirmed(more.select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct(), sets, percent))
-        if fresh.isEmpty():
+        if rest.isEmpty():
             break
-        links = links.unionByName(fresh)
-        roots = components(links)
+        part = F.pmod(F.xxhash64("node"), F.lit(centres)).alias("part")  # one centre for each part of a bucket
+        chosen = F.max(F.struct("weight", (-F.col("rep")).alias("less"), "node", "n", "root"))
+        next_ = rest.filter("root <> c_root").groupBy(F.col("bucket").alias("c_bucket"), part).agg(chosen.alias("c"))
+        next_ = materialise(next_.select("c_bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"), F.col("c.root").alias("s_root")))
+        more = rest.join(next_, F.col("bucket") == F.col("c_bucket")).filter((F.col("root") != F.col("s_root")) & _alike(percent))
+        more = materialise(_pairs(more).join(tried, ["x", "y"], "left_anti"))
+        fresh = materialise(confirmed(more, sets, percent))
+        undone = rest.join(next_, (F.col("bucket") == F.col("c_bucket")) & (F.col("node") == F.col("centre")), "left_anti").drop("root", "c_root")
+        tried, centres = tried.unionByName(more), 2 * centres
+        if not fresh.isEmpty():
+            links = links.unionByName(fresh)
+            roots = materialise(components(links))
 
     named = classes.select(F.col("node").alias("k_node"), F.col("rep")).join(roots, F.col("rep") == F.col("id"), "left").select("k_node", F.coalesce("root", "rep").alias("root"))
     out = signed.select("doc_id", "n", "node").join(named, F.col("node") == F.col("k_node"), "left")
