@@ -58,6 +58,15 @@ def test_frequent_lines(spark):
     assert texts[103] == (prose(2003, 80), len(prose(2003, 80))) and texts[305][0] == rows[-10][1] and len(texts) == 85
 
 
+def test_documents_of_one_template_are_counted(spark):
+    """Different documents never count as one, also where a page has many shared lines or one line only."""
+    shared = [prose(7000 + k, 5) for k in range(10)]
+    rows = [(i, "\n".join([*shared, prose(i, 40)]), "en", "hot") for i in range(100)]
+    rows += [(200 + i, shared[0], "en", "one") for i in range(30)] + [(300 + i, f"{shared[0]}\n{prose(i, 40)}", "en", "one") for i in range(20)]  # 21 texts
+    got = {r.doc_id: r.n_removed for r in quality_rules.judge(frame(spark, rows)).collect()}
+    assert all(got[i] == 50 for i in range(100)) and all(got[i] == 5 for i in range(200, 320) if i in got)
+
+
 def expected_targets(sizes):
     order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weight = {s: i % 3 + 1 for i, s in enumerate(order)}

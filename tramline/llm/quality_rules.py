@@ -4,9 +4,9 @@ Every document's lines are normalised (lower case, blanks collapsed) and hashed.
 distinct documents, removes the lines above the limit and rejects documents that this leaves depleted. DataFrame
 functions only.
 
-Counting documents, not copies. A document is represented, for a given line, by the smallest hash among its *other* lines.
-Exact copies therefore count once however many there are, so a copied clean document is never mistaken for boilerplate;
-a line that stands alone in its document has no company and isn't counted. Lines of more than ``max_line_words`` words are
+Counting documents, not copies. A document is represented by the hash of its normalised lines. Exact copies therefore count
+once however many there are, so a copied clean document is never mistaken for boilerplate, and different documents never
+collapse. Lines of more than ``max_line_words`` words are
 passages, not boilerplate, and are left to near-duplicate removal.
 
 Defined results: null or empty text has no words and fails the base rules; a null host is a host of its own; repeated rows
@@ -87,19 +87,17 @@ def line_hash(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame, key: list[Column], text: str, host: str) -> DataFrame:
-    """(key..., host, pos, h, n, company): one row per line with a word."""
+    """(key..., host, pos, h, n, whole): one row per line with a word; ``whole`` is the hash of the document's normalised lines."""
     parts = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.struct(line_hash(x).alias("h"), F.size(words_of(x)).alias("n")))
     held = docs.select(*key, F.col(host).alias("host"), F.filter(parts, lambda p: p["n"] > 0).alias("parts"))
-    # the two smallest distinct hashes: the company of every line of the document
-    low = F.slice(F.sort_array(F.array_distinct(F.transform("parts", lambda p: p["h"]))), 1, 2)
     names = [c for c in held.columns if c != "parts"]
-    held = held.withColumn("low", low).select(*names, "low", F.posexplode("parts").alias("pos", "p"))
-    return held.select(*names, "pos", "p.h", "p.n", F.when(F.col("p.h") == F.get("low", F.lit(0)), F.get("low", F.lit(1))).otherwise(F.get("low", F.lit(0))).alias("company"))
+    held = held.withColumn("whole", F.xxhash64(F.transform("parts", lambda p: p["h"])))
+    return held.select(*names, "whole", F.posexplode("parts").alias("pos", "p")).select(*names, "pos", "p.h", "p.n", "whole")
 
 
 def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, max_line_words: int = MAX_LINE_WORDS) -> DataFrame:
-    """(host, h, n_docs) of the lines above the limit. Both aggregations combine map-side, so a hot line costs one row a task."""
-    seen = lines.filter((F.col("n") <= max_line_words) & F.col("company").isNotNull()).select("host", "h", "company").distinct()
+    """(host, h, n_docs) of the lines above the limit. Copies combine map-side in the first aggregation, and a hot line costs one row a task in the second."""
+    seen = lines.filter(F.col("n") <= max_line_words).select("host", "h", "whole").distinct()
     return seen.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
 
 
