@@ -67,6 +67,13 @@ def test_documents_of_one_template_are_counted(spark):
     assert all(got[i] == 50 for i in range(100)) and all(got[i] == 5 for i in range(200, 320) if i in got)
 
 
+def test_long_lines_are_counted(spark):
+    passage = prose(8000, 60)
+    rows = [(i, f"{passage}\n{prose(i, 40)}", "en", "hot") for i in range(30)] + [(100 + i, f"{passage}\n{prose(9000, 30)}", "en", "cold") for i in range(60)]
+    got = {r.doc_id: (r.kept, r.n_removed) for r in quality_rules.judge(frame(spark, rows)).collect()}
+    assert all(got[i] == (True, 60) for i in range(30)) and all(got[100 + i] == (True, 0) for i in range(60))  # copies aren't counted
+
+
 def expected_targets(sizes):
     order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weight = {s: i % 3 + 1 for i, s in enumerate(order)}

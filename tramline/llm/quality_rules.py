@@ -6,8 +6,7 @@ functions only.
 
 Counting documents, not copies. A document is represented by the hash of its normalised lines. Exact copies therefore count
 once however many there are, so a copied clean document is never mistaken for boilerplate, and different documents never
-collapse. Lines of more than ``max_line_words`` words are
-passages, not boilerplate, and are left to near-duplicate removal.
+collapse. Lines of any length are counted.
 
 Defined results: null or empty text has no words and fails the base rules; a null host is a host of its own; repeated rows
 get equal results, each in its own row; extra input columns never clash, as only the four named columns are read.
@@ -24,7 +23,7 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_DOCS_PER_LINE = 20
-MAX_LINE_WORDS = 30
+MAX_LINE_WORDS = 30  # of the checking SQL only
 MIN_LEFT_PERCENT = 50
 
 
@@ -95,24 +94,24 @@ def line_table(docs: DataFrame, key: list[Column], text: str, host: str) -> Data
     return held.select(*names, "whole", F.posexplode("parts").alias("pos", "p")).select(*names, "pos", "p.h", "p.n", "whole")
 
 
-def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, max_line_words: int = MAX_LINE_WORDS) -> DataFrame:
+def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
     """(host, h, n_docs) of the lines above the limit. Copies combine map-side in the first aggregation, and a hot line costs one row a task in the second."""
-    seen = lines.filter(F.col("n") <= max_line_words).select("host", "h", "whole").distinct()
+    seen = lines.select("host", "h", "whole").distinct()
     return seen.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
 
 
-def removals(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, max_line_words: int = MAX_LINE_WORDS, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+def removals(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """(k_id, k_text, n_removed, removed): per document that loses lines, the words it loses and the hashes of those lines."""
     key = [F.col(doc_id).alias("k_id"), F.xxhash64(F.col(text)).alias("k_text")]
     lines = line_table(docs, key, text, host)
-    often = frequent_lines(lines, max_docs, max_line_words)
+    often = frequent_lines(lines, max_docs)
     hit = lines.join(often.withColumnRenamed("host", "o_host"), F.col("host").eqNullSafe(F.col("o_host")) & (lines["h"] == often["h"]), "left_semi")
     hit = hit.dropDuplicates(["k_id", "k_text", "host", "pos"])  # repeated rows
     return hit.groupBy("k_id", "k_text", F.col("host").alias("k_host")).agg(F.sum("n").alias("n_removed"), F.collect_set("h").alias("removed"))
 
 
-def _judged(docs: DataFrame, max_docs: int, max_line_words: int, doc_id: str, text: str, host: str, carry: list[Column]) -> DataFrame:
-    gone = removals(docs, max_docs, max_line_words, doc_id, text, host)
+def _judged(docs: DataFrame, max_docs: int, doc_id: str, text: str, host: str, carry: list[Column]) -> DataFrame:
+    gone = removals(docs, max_docs, doc_id, text, host)
     own = with_base_rules(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(host).alias("_host"), F.xxhash64(F.col(text)).alias("_text_key"), *carry))
     if not carry:
         own = own.drop("text")
@@ -123,15 +122,15 @@ def _judged(docs: DataFrame, max_docs: int, max_line_words: int, doc_id: str, te
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
-def judge(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, max_line_words: int = MAX_LINE_WORDS, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+def judge(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """One row per input row: the base figures, the words in removed lines and the verdict. No text is shuffled."""
-    out = _judged(docs, max_docs, max_line_words, doc_id, text, host, [])
+    out = _judged(docs, max_docs, doc_id, text, host, [])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed", "kept")
 
 
-def clean(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, max_line_words: int = MAX_LINE_WORDS) -> DataFrame:
+def clean(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
     """The kept documents without their removed lines, in the columns of ``docs`` (doc_id, text, lang, source, n_chars)."""
-    out = _judged(docs, max_docs, max_line_words, "doc_id", "text", "source", [F.col("lang").alias("_lang"), F.col("n_chars").alias("_n")]).filter("kept")
+    out = _judged(docs, max_docs, "doc_id", "text", "source", [F.col("lang").alias("_lang"), F.col("n_chars").alias("_n")]).filter("kept")
     rest = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed", line_hash(x)))
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     n = F.when(F.col("removed").isNull(), F.col("_n")).otherwise(F.length(text)).cast("long")
