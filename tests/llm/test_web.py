@@ -65,6 +65,17 @@ def test_style_tree_removes_templates(spark):
     assert r.pages == 4 and r.importance == pytest.approx(0.75)  # entropy of 1/2, 1/4, 1/4 to base 4
 
 
+def test_copies_are_no_templates(spark):
+    """Copies of a page without an article element keep their text, and so do the different pages of that host and pages without one."""
+    body = lambda i: f"<body><div class=text><p>Story {i} of many</p><p>It goes on {i * 7}</p></div></body>"
+    rows = [(i, f"http://one.org/{i}", body(0)) for i in range(40)] + [(100 + i, f"http://one.org/{100 + i}", body(i)) for i in range(1, 6)]
+    rows += [(200 + i, None, f"<body><p>No host</p><!-- {i} --></body>") for i in range(8)]
+    got = {r.page_id: (r.text, r.n_removed) for r in tree.extract(pages(spark, rows)).collect()}
+    assert all(got[i] == ("Story 0 of many\nIt goes on 0", 0) for i in range(40))
+    assert all(got[100 + i] == (f"Story {i} of many\nIt goes on {i * 7}", 0) for i in range(1, 6))
+    assert all(got[200 + i] == ("No host", 0) for i in range(8))
+
+
 def test_warc_records(spark):
     http = b"HTTP/1.1 200 OK\r\nETag: \"a\"\r\nX-Long: one\r\n two\r\n\r\nbody\r\nmore"
     one = warc.write_record("response", {"WARC-Record-ID": "<1>", "WARC-Target-URI": "http://a/", "WARC-Date": "2024-01-01T00:00:00Z", "Content-Type": "application/http; msgtype=response"}, http)

@@ -11,7 +11,7 @@ The tree of a host is an aggregated table, (host, node, kind, value) -> pages, s
 map-side; only a host's low-importance nodes are gathered, and their number follows the host's templates, not its pages.
 
 Defined results: null or empty html, or a page without main text, gives an empty text; broken markup is read as far as it goes;
-repeated rows count each and get equal results; an empty table gives an empty result; extra columns are ignored.
+equal pages of a host count once in its tree and get equal results; pages without a host lose nothing by importance; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -160,7 +160,7 @@ def candidates(blocks: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]
     return [b for b in blocks if b[1] == best and best]
 
 
-PARSED = "page_id long, url string, host string, nodes array<struct<k:long,content:long,shown:long>>, blocks array<struct<k:long,role:int,text:string>>"
+PARSED = "page_id long, url string, host string, page long, nodes array<struct<k:long,content:long,shown:long>>, blocks array<struct<k:long,role:int,text:string>>"
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,11 +170,11 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             nodes, blocks = [], []
-            for page in part.column(3).to_pylist():
+            for page in part.column(4).to_pylist():
                 found, tree = parse(page)
                 nodes.append([{"k": k, "content": c, "shown": s} for k, (c, s) in tree.items()])
                 blocks.append([{"k": k, "role": r, "text": t} for k, r, t in candidates(found)])
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, node), pa.array(blocks, block)], names=["page_id", "url", "host", "nodes", "blocks"])
+            yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(4)), pa.array(nodes, node), pa.array(blocks, block)], names=["page_id", "url", "host", "page", "nodes", "blocks"])
 
 
 def importance(parsed: DataFrame, content_share: float = CONTENT_SHARE) -> DataFrame:
@@ -191,9 +191,11 @@ def importance(parsed: DataFrame, content_share: float = CONTENT_SHARE) -> DataF
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars, n_removed): one row per page. n_removed: blocks in branches of low importance."""
     ship(pages.sparkSession)
-    own = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), parts_of(F.col(url))[0].alias("host"), F.col(html).alias("html"))
+    own = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), parts_of(F.col(url))[0].alias("host"), F.xxhash64(F.col(html)).alias("page"), F.col(html).alias("html"))
     parsed = materialise(own.mapInArrow(_parse_batches, PARSED))
-    low = importance(parsed).filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
+    # copies of a page say nothing about its host, and pages without a host have none in common
+    distinct = parsed.filter("host <> ''").select("host", "page", "nodes").dropDuplicates(["host", "page"])
+    low = importance(distinct).filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
     # written first, so that Spark knows its size: a small table is broadcast and no text is exchanged, a large one is joined by host
     low = materialise(low.groupBy(F.col("host").alias("low_host")).agg(F.collect_list("k").alias("low")))
     out = parsed.join(low, F.col("host") == F.col("low_host"), "left").withColumn("low", F.coalesce("low", F.array().cast("array<bigint>")))
