@@ -41,6 +41,14 @@ def test_url_model(spark):
     assert got[1].score > got[2].score and url_filter.fit([])[1] < 0
 
 
+def test_large_labelled_table_is_sampled(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_LABELLED", 100)
+    table = [(f"http://good{i}.example/read", 0) for i in range(200)] + [(f"https://zbad{i}.example/casino", 1) for i in range(200)]
+    for labelled in (table, spark.createDataFrame(table, "url string, label int")):
+        got = {r.page_id: r.score for r in url_filter.judge(pages(spark, [(1, "https://zbad999.example/casino", None), (2, "http://good999.example/read", None)]), [], labelled).collect()}
+        assert got[1] > 0.5 > got[2]
+
+
 def test_extraction(spark):
     page = """<html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>Menu</ul></nav><div class="cookie-notice">We use cookies</div>
     <div class=ad>Buy</div><article><h1>One &amp; two</h1><p><b>First  <i>part</i>.<br>More<p>Second &#233;&nbsp;x<ul><li>a<li>b</ul><!-- <p>no</p> --><form><p>Name</p></form>

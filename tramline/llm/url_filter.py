@@ -93,7 +93,8 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 def fit(labelled: Iterable[tuple[str, int]], rounds: int = 400, rate: float = 10.0, penalty: float = 1e-6) -> tuple[np.ndarray, float]:
     """Weights and bias of the logistic regression, by full-batch gradient descent (deterministic)."""
-    rows = sorted({(u or "", int(y)) for u, y in labelled})[:MAX_LABELLED]
+    by_hash = sorted({(u or "", int(y)) for u, y in labelled}, key=lambda r: (zlib.crc32(r[0].encode("utf-8", "replace")), r))
+    rows = sorted(by_hash[:MAX_LABELLED])  # a sample, not the first in URL order
     weights, bias = np.zeros(DIMENSIONS), 0.0
     if not rows:
         return weights, -1.0
@@ -116,7 +117,7 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str]], labelled: DataFram
     """
     ship(pages.sparkSession)
     if isinstance(labelled, DataFrame):
-        labelled = [tuple(r) for r in labelled.orderBy("url", "label").limit(MAX_LABELLED).collect()]
+        labelled = [tuple(r) for r in labelled.orderBy(F.xxhash64("url"), "url", "label").limit(MAX_LABELLED).collect()]
     weights, bias = fit(labelled_urls() if labelled is None else labelled)
     model = pages.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # DIMENSIONS numbers, whatever the data
 
