@@ -36,6 +36,14 @@ def lattices_of(model: bytes) -> Lattices:
     return _known[hash(model)]
 
 
+def spelled_alike(v: Vocabulary, ids: list[np.ndarray], texts: list[bytes]) -> list[bool]:
+    """Whether the pieces of each row spell its text again, after the blank in front."""
+    every = np.concatenate(ids)
+    spelled = v.bytes_of_all(every).tobytes()
+    sizes = np.concatenate([[0], np.cumsum(v.n_bytes[every])])[np.cumsum([0, *map(len, ids)])].tolist()
+    return [spelled[a + 1 : b] == t for a, b, t in zip(sizes, sizes[1:], texts, strict=False)]
+
+
 def encode(docs: DataFrame, model_path: str, samples: int = SAMPLES, seed: int = SEED, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and sample: sample counts from 1 in falling order of the perturbed value."""
     ship(docs.sparkSession)
@@ -54,8 +62,8 @@ def encode(docs: DataFrame, model_path: str, samples: int = SAMPLES, seed: int =
                 drawn = sample(lattices, [t.decode() for t in part], seeds, samples)
                 rows = [(k, j + 1, *r, t) for k, t, found in zip(own, part, drawn, strict=True) for j, r in enumerate(found or [(np.zeros(0, np.int32), 0.0, 0.0, 0.0)])]
                 ids = [r[2] for r in rows]
-                back = [b"".join(map(lattices.v.bytes_of.__getitem__, x.tolist()))[1:] == r[-1] for x, r in zip(ids, rows, strict=True)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                back = spelled_alike(lattices.v, ids, [r[-1] for r in rows])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
