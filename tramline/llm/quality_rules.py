@@ -9,7 +9,9 @@ once however many there are, so a copied clean document is never mistaken for bo
 collapse. Lines of any length are counted.
 
 Defined results: null or empty text has no words and fails the base rules; a null host is a host of its own; repeated rows
-get equal results, each in its own row; extra input columns never clash, as only the four named columns are read.
+get equal results, each in its own row, and count once; a line that occurs more than once in a document counts once but is removed everywhere
+in it; a line at the limit exactly stays; texts of any length are read whole (a line's words and hash in one pass); an empty table
+gives an empty result; extra input columns never clash, as only the named columns are read.
 """
 
 from __future__ import annotations
@@ -17,13 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import BLANK, let, words_of
+from tramline.llm.common import let, materialise, words_of
 
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_DOCS_PER_LINE = 20
-MAX_LINE_WORDS = 30  # of the checking SQL only
 MIN_LEFT_PERCENT = 50
 
 
@@ -60,63 +61,51 @@ def repeated_words(words: Column) -> Column:
     return let(window_hashes(words), count)
 
 
-def with_base_rules(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
-    full = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(full, "\n"), lambda x: x.rlike(f"[^{BLANK}]"))
-    df = df.withColumn("_words", words_of(F.col(text))).withColumn("_lines", lines)
-    df = df.withColumns(
-        {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_symbols": F.regexp_count(full, F.lit("[#*$%&|<>]")).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": let(F.col("_words"), repeated_words).cast("long"),
-        }
-    ).drop("_words", "_lines")
-    return df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-
-
-def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), f"[{BLANK}]+", " "))
-
-
-def line_hash(line: Column) -> Column:
-    return F.substring(F.md5(normalised(line)), 1, 16)
-
-
-def line_table(docs: DataFrame, key: list[Column], text: str, host: str) -> DataFrame:
-    """(key..., host, pos, h, n, whole): one row per line with a word; ``whole`` is the hash of the document's normalised lines."""
-    parts = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.struct(line_hash(x).alias("h"), F.size(words_of(x)).alias("n")))
-    held = docs.select(*key, F.col(host).alias("host"), F.filter(parts, lambda p: p["n"] > 0).alias("parts"))
-    names = [c for c in held.columns if c != "parts"]
-    held = held.withColumn("whole", F.xxhash64(F.transform("parts", lambda p: p["h"])))
-    return held.select(*names, "whole", F.posexplode("parts").alias("pos", "p")).select(*names, "pos", "p.h", "p.n", "whole")
-
+def analysed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """(doc_id, text_key, host, base figures, base_failed, parts array<struct<h, n>>, whole): everything that is read from a text, in one pass.
 
-def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
-    """(host, h, n_docs) of the lines above the limit. Copies combine map-side in the first aggregation, and a hot line costs one row a task in the second."""
-    seen = lines.select("host", "h", "whole").distinct()
+    ``parts`` are the lines with a word, as hash of the normalised line and number of words; ``whole`` is the hash of all of them.
+    """
+    full = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(host).alias("host"), full.alias("full"))
+    lines = F.transform(F.split("full", "\n"), lambda x: F.struct(x.alias("line"), words_of(x).alias("w")))
+    own = own.withColumn("lines", F.filter(lines, lambda x: F.size(x["w"]) > 0))
+    own = own.withColumn("words", F.flatten(F.transform("lines", lambda x: x["w"])))
+    whole_lines = F.transform("lines", lambda x: x["line"])
+    parts = F.transform("lines", lambda x: F.struct(words_hash(x["w"]).alias("h"), F.size(x["w"]).alias("n")))
+    own = own.select(
+        "doc_id", "text_key", "host", F.size("words").cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("full", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct(whole_lines))).cast("long").alias("n_dup_lines"),
+        let(F.col("words"), repeated_words).cast("long").alias("n_repeat_words"), parts.alias("parts"),
+    )
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    return own.withColumns({"base_failed": failed, "whole": F.xxhash64(F.transform("parts", lambda x: x["h"]))})
+
+
+def words_hash(words: Column) -> Column:
+    """Hash of a normalised line: its words in lower case, with one blank between them."""
+    return F.xxhash64(F.lower(F.array_join(words, " ")))
+
+
+def frequent_lines(found: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
+    """(host, h, n_docs) of the lines in more than ``max_docs`` documents of a host, from analysed().
+
+    Copies combine map-side in the first aggregation, and a hot line costs one row a task in the second.
+    """
+    seen = found.select("host", "whole", F.explode(F.array_distinct(F.transform("parts", lambda x: x["h"]))).alias("h")).distinct()
     return seen.groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
 
 
-def removals(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """(k_id, k_text, n_removed, removed): per document that loses lines, the words it loses and the hashes of those lines."""
-    key = [F.col(doc_id).alias("k_id"), F.xxhash64(F.col(text)).alias("k_text")]
-    lines = line_table(docs, key, text, host)
-    often = frequent_lines(lines, max_docs)
-    hit = lines.join(often.withColumnRenamed("host", "o_host"), F.col("host").eqNullSafe(F.col("o_host")) & (lines["h"] == often["h"]), "left_semi")
-    hit = hit.dropDuplicates(["k_id", "k_text", "host", "pos"])  # repeated rows
-    return hit.groupBy("k_id", "k_text", F.col("host").alias("k_host")).agg(F.sum("n").alias("n_removed"), F.collect_set("h").alias("removed"))
-
-
-def _judged(docs: DataFrame, max_docs: int, doc_id: str, text: str, host: str, carry: list[Column]) -> DataFrame:
-    gone = removals(docs, max_docs, doc_id, text, host)
-    own = with_base_rules(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(host).alias("_host"), F.xxhash64(F.col(text)).alias("_text_key"), *carry))
-    if not carry:
-        own = own.drop("text")
-    on = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_text_key") == F.col("k_text")) & F.col("_host").eqNullSafe(F.col("k_host"))
-    out = own.join(gone, on, "left").withColumn("n_removed", F.coalesce("n_removed", F.lit(0)).cast("long"))
+def verdicts(found: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
+    """analysed() with n_removed, removed (hashes of the document's removed lines, null if it loses none) and kept."""
+    often = frequent_lines(found, max_docs).select(F.col("host").alias("o_host"), F.col("h").alias("o_h"))
+    # documents with equal lines of a host lose the same lines, so each such list is looked up once
+    lists = found.groupBy("host", "whole").agg(F.first("parts").alias("parts"))
+    lines = lists.select("host", "whole", F.explode("parts").alias("p")).select("host", "whole", "p.h", "p.n")
+    hit = lines.join(often, F.col("host").eqNullSafe(F.col("o_host")) & (F.col("h") == F.col("o_h")), "left_semi")
+    gone = hit.groupBy(F.col("host").alias("g_host"), F.col("whole").alias("g_whole")).agg(F.sum("n").alias("n_removed"), F.collect_set("h").alias("removed"))
+    out = found.join(materialise(gone), F.col("host").eqNullSafe(F.col("g_host")) & (F.col("whole") == F.col("g_whole")), "left")
+    out = out.withColumn("n_removed", F.coalesce("n_removed", F.lit(0)).cast("long"))
     left = F.col("n_words") - F.col("n_removed")
     depleted = (F.col("n_removed") > 0) & (left < MIN_WORDS) & (100 * left < MIN_LEFT_PERCENT * F.col("n_words"))
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
@@ -124,17 +113,24 @@ def _judged(docs: DataFrame, max_docs: int, doc_id: str, text: str, host: str, c
 
 def judge(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """One row per input row: the base figures, the words in removed lines and the verdict. No text is shuffled."""
-    out = _judged(docs, max_docs, doc_id, text, host, [])
+    out = verdicts(materialise(analysed(docs, doc_id, text, host)), max_docs)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed", "kept")
 
 
 def clean(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
-    """The kept documents without their removed lines, in the columns of ``docs`` (doc_id, text, lang, source, n_chars)."""
-    out = _judged(docs, max_docs, "doc_id", "text", "source", [F.col("lang").alias("_lang"), F.col("n_chars").alias("_n")]).filter("kept")
-    rest = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed", line_hash(x)))
+    """The kept documents without their removed lines, in the columns of ``docs`` (doc_id, text, lang, source, n_chars).
+
+    Verdicts are stored by document and text, and only those that change something are looked up: which documents go, and what others lose.
+    """
+    out = verdicts(materialise(analysed(docs)), max_docs).filter("not kept or removed is not null")
+    key = [F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_text"), F.col("host").alias("k_host")]
+    out = materialise(out.select(*key, "kept", "removed").groupBy("k_id", "k_text", "k_host").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed")))
+    on = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.xxhash64("text") == F.col("k_text")) & F.col("source").eqNullSafe(F.col("k_host"))
+    own = docs.select("doc_id", "text", "lang", "source", "n_chars").join(out, on, "left").filter(F.coalesce("kept", F.lit(True)))
+    rest = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed", let(words_of(x), words_hash)))
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    n = F.when(F.col("removed").isNull(), F.col("_n")).otherwise(F.length(text)).cast("long")
-    return out.select("doc_id", text.alias("text"), F.col("_lang").alias("lang"), F.col("_host").alias("source"), n.alias("n_chars"))
+    n = F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long")
+    return own.select("doc_id", text.alias("text"), "lang", "source", n.alias("n_chars"))
 
 
 ORACLE_SQL = f"""
@@ -146,12 +142,11 @@ dl AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM (SELECT d
 win AS (SELECT doc_id, i, array_to_string(w[i:i+7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) > 8) x),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) x WHERE c > 1),
 cov AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM rep) x GROUP BY doc_id),
-li AS (SELECT doc_id, source, pos, n, substr(md5(trim(regexp_replace(lower(l), '[\\x20\\x09-\\x0D]+', ' ', 'g'))), 1, 16) AS h FROM
-  (SELECT doc_id, source, generate_subscripts(ls, 1) AS pos, unnest(ls) AS l, len(regexp_extract_all(unnest(ls), '[^\\x20\\x09-\\x0D]+')) AS n
-   FROM (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM d) y) z WHERE n > 0),
-co AS (SELECT *, (SELECT min(o.h) FROM li o WHERE o.doc_id = li.doc_id AND o.h <> li.h) AS company FROM li),
-often AS (SELECT source, h FROM co WHERE n <= {MAX_LINE_WORDS} GROUP BY source, h HAVING count(DISTINCT company) > {MAX_DOCS_PER_LINE}),
-gone AS (SELECT doc_id, sum(n) AS n_removed FROM li JOIN often USING (source, h) GROUP BY doc_id),
+-- every line of every document; two documents are one if all their lines read alike
+li AS (SELECT doc_id, source, trim(regexp_replace(lower(l), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line, row_number() OVER () AS k FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS l FROM d) y WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')),
+own AS (SELECT doc_id, md5(string_agg(line, chr(10) ORDER BY k)) AS reads FROM li GROUP BY doc_id),
+often AS (SELECT source, line FROM li JOIN own USING (doc_id) GROUP BY source, line HAVING count(DISTINCT reads) > {MAX_DOCS_PER_LINE}),
+gone AS (SELECT doc_id, sum(len(regexp_extract_all(li.line, '[^ ]+'))) AS n_removed FROM li JOIN often ON often.line = li.line AND often.source IS NOT DISTINCT FROM li.source GROUP BY doc_id),
 f AS (SELECT b.doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_removed, 0) AS n_removed
   FROM b LEFT JOIN dl USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id)),
 g AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f)
