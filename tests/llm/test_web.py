@@ -1,4 +1,7 @@
 import gzip
+import math
+import random
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,15 +65,102 @@ def test_extraction(spark):
 
 
 def test_style_tree_removes_templates(spark):
-    """Without an article element, what reads alike on the pages of a host goes and what differs stays."""
-    body = lambda i: f"<body><div class=top><p>Welcome to our site</p></div><div class=text><p>Story {i} of many</p><p>It goes on {i * 7}</p></div><div class=end><span>Call us</span></div></body>"
-    rows = [(i, f"http://one.org/{i}", body(i)) for i in range(12)] + [(100, "http://two.org/", body(100))]
-    got = {r.page_id: r for r in tree.extract(pages(spark, rows)).collect()}
-    assert got[3].text == "Story 3 of many\nIt goes on 21" and got[3].n_removed == 2
-    assert got[100].text.startswith("Welcome")  # one page tells nothing about its host
-    parsed = spark.createDataFrame([("h", [(1, 5, 0)]), ("h", [(1, 5, 0)]), ("h", [(1, 6, 0)]), ("h", [(1, 7, 0)])], "host string, nodes array<struct<k:long,content:long,shown:long>>")
-    r = tree.importance(parsed, 1.0).first()
-    assert r.pages == 4 and r.importance == pytest.approx(0.75)  # entropy of 1/2, 1/4, 1/4 to base 4
+    """What reads alike on the pages of a host goes, inside an explicit article too, and what differs stays."""
+    for tag in ("div", "article"):
+        body = lambda i, tag=tag: f"<body><{tag} class=text><div class=top><p>Welcome to our site</p></div><p>Story {i} of many that we have to tell</p><p>It goes on {i * 7} times and more</p><p>Write to us at any time</p><div class=end><span>Call us</span></div></{tag}></body>"
+        rows = [(i, f"http://one.org/{i}", body(i)) for i in range(12)] + [(100, "http://two.org/", body(100))]
+        got = {r.page_id: r for r in tree.extract(pages(spark, rows)).collect()}
+        assert got[3].text == "Story 3 of many that we have to tell\nIt goes on 21 times and more" and got[3].n_removed == 3
+        assert got[100].text.startswith("Welcome") and got[100].n_removed == 0  # one page tells nothing about its host
+        off = {r.page_id: r for r in tree.extract(pages(spark, rows), min_importance=0.0).collect()}
+        assert off[3].text.count("\n") == 4 and off[3].n_removed == 0
+
+
+def test_near_copies_are_no_templates(spark):
+    """A host with many near copies of one article: all branches are alike, so nothing is less important than the rest."""
+    body = lambda i: "<article><h1>The one story</h1>" + "".join(f"<p>Paragraph {k} of the story{' changed ' + str(i) if k == i % 6 else ''}</p>" for k in range(6)) + "</article>"
+    rows = [(i, f"http://one.org/{i}", body(i)) for i in range(30)]
+    assert tree.extract(pages(spark, rows)).filter("n_removed > 0").count() == 0
+
+
+def test_style_tree_against_brute_force(spark):
+    """Random sites of nested div elements, each text at a path of its own; counts, importance and removal by plain loops."""
+    rng = random.Random(12)
+
+    def make(depth):
+        return [("p", rng.choice(["notice one", "notice two", f"own {rng.random()} text of some length"])) if depth == 0 or rng.random() < 0.5 else ("div", rng.choice("abc"), make(depth - 1)) for _ in range(rng.randrange(1, 4))]
+
+    def write(node):
+        return f"<p>{node[1]}</p>" if node[0] == "p" else f"<div class={node[1]}>{''.join(map(write, node[2]))}</div>"
+
+    sites = {i: ("h%d" % (i % 2), ("div", "root", make(2))) for i in range(40)}
+    texts, shown, of_path = Counter(), defaultdict(Counter), Counter()
+
+    def walk(node, path, leaves, inner):
+        """Leaves (path, text) and the child tags of every inner node, a leaf's paragraph being one without children."""
+        path = (*path, node[0] if node[0] == "p" else node[:2])
+        if node[0] == "p":
+            leaves.append((path, node[1]))
+            inner.append((path, ()))
+        else:
+            inner.append((path, tuple(x[0] for x in node[2])))
+            for x in node[2]:
+                walk(x, path, leaves, inner)
+
+    parts = {}
+    for i, (host, node) in sites.items():
+        parts[i] = leaves, inner = [], []
+        walk(node, (), leaves, inner)
+        inner.append(((), ("div",)))
+        texts.update((host, *x) for x in set(leaves))
+        of_path.update((host, p) for p in {x[0] for x in leaves})
+        for p, kids in inner:
+            shown[host, p][kids] += 1
+
+    def presentation(host, path):
+        counts = shown[host, path].values()
+        m = sum(counts)
+        entropy = -sum(c / m * math.log(c / m, m) for c in counts) if m > 1 else 1.0
+        return (m * entropy + 4) / (m + 4)
+
+    def value(host, node, path):
+        """Importance and length of a branch."""
+        path = (*path, node[0] if node[0] == "p" else node[:2])
+        if node[0] == "p":
+            n = texts[host, path, node[1]]
+            kids = [(1 - math.log(n) / math.log(of_path[host, path] + 4) if n > 1 else 1.0, len(node[1]))]
+        else:
+            kids = [value(host, x, path) for x in node[2]]
+        return 0.1 * presentation(host, path) + 0.9 * sum(v * n for v, n in kids) / sum(n for _, n in kids), sum(n for _, n in kids)
+
+    def kept(host, node, path, bound):
+        if value(host, node, path)[0] < bound:
+            return []
+        path = (*path, node[0] if node[0] == "p" else node[:2])
+        if node[0] == "p":
+            n = texts[host, path, node[1]]
+            return [] if (1 - math.log(n) / math.log(of_path[host, path] + 4) if n > 1 else 1.0) < bound else [node[1]]
+        return [t for x in node[2] for t in kept(host, x, path, bound)]
+
+    expected = {}
+    for i, (host, node) in sites.items():
+        spread = sorted(v for p, t in parts[i][0] for v in [1 - math.log(texts[host, p, t]) / math.log(of_path[host, p] + 4) if texts[host, p, t] > 1 else 1.0] * len(t))
+        expected[i] = "\n".join(kept(host, node, (), 0.5 * spread[(len(spread) + 1) // 2 - 1]))
+    rows = [(i, f"http://{host}.org/{i}", f"<body>{write(node)}</body>".replace("<body>", "").replace("</body>", "")) for i, (host, node) in sites.items()]
+    reads = {(sites[i][0], tuple(parts[i][0])) for i in sites}
+    assert len(reads) == len(sites)  # no copies, which would count once
+    got = {r.page_id: (r.text, r.n_removed) for r in tree.extract(pages(spark, rows), min_importance=0.5).collect()}
+    assert {i: t for i, (t, _) in got.items()} == expected and sum(n > 0 for _, n in got.values()) >= 5
+
+
+def test_markup_is_read_as_far_as_it_goes(spark):
+    cases = {
+        "<article><p><b it's>one</b> two</p></article>": "one two", "<article><p class='related-work'>kept</p><p class='related'>gone</p><div class='ad-slot-3'>gone</div></article>": "kept",
+        "<article><p>x <math><mi>a</mi><mo>+</mo></math></p><object>y</object><svg><text>z</text></svg><noscript>n</noscript><select><option>o</select></article>": "x a+\ny\nz\nn",
+        "<article><p title=\"a > b\">t</p><p>u<a href": "t\nu", "<main><h1 class='notice-of-appeal'>Notice</h1><div class='site-notice'>gone</div>": "Notice",
+    }
+    got = {r.page_id: r.text for r in tree.extract(pages(spark, [(i, None, h) for i, h in enumerate(cases)])).collect()}
+    assert got == dict(enumerate(cases.values()))
 
 
 def test_copies_are_no_templates(spark):
