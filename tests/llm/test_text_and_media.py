@@ -106,6 +106,56 @@ def test_links_below_many_failed_centres(spark):
     assert got == {i: x[1] for i, x in expected.items()}
 
 
+def near_threshold(common, pair, own, n):
+    """Texts of one template with pairs among them: ``common`` shared words, and for the first 400 texts ``pair`` words shared with one other."""
+    template = [f"t{i}" for i in range(common)]
+    words = lambda i, k: [f"u{i}x{j}" for j in range(k)]
+    return [(i, " ".join(template + (words(10_000 + i // 2, pair) + words(i, own - pair) if i < 400 else words(i, own))), "en", "s") for i in range(n)]
+
+
+@pytest.mark.parametrize(("common", "pair", "own"), [(402, 5, 38), (402, 4, 37), (402, 9, 41)])
+def test_links_just_above_the_threshold(spark, common, pair, own):
+    """200 pairs at 0.86 among 600 texts that are at 0.83 to 0.845 with each other: no link is lost."""
+    rows = near_threshold(common, pair, own, 600)
+    one, two, far = (shingle_set(rows[i][1], 3) for i in (0, 1, 2))
+    jaccard = lambda x, y: len(x & y) / len(x | y)
+    assert jaccard(one, two) >= 0.85 > jaccard(one, far) > 0.82
+    got = {r.doc_id: r.component_id for r in near_dedup.groups(frame(spark, rows), 3, 85).collect()}
+    assert got == {i: i - i % 2 if i < 400 else i for i in range(600)}
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
+def test_random_edits_of_one_text(spark, k, percent):
+    """Near copies with up to 14 edits, and copies of copies, against all pairs."""
+    rng = random.Random(k)
+    texts = [[f"w{rng.randrange(500)}" for _ in range(150)]]
+    for _ in range(400):
+        w = list(texts[0] if rng.random() < 0.7 else rng.choice(texts))
+        for _ in range(rng.randrange(0, 15)):
+            at = rng.randrange(len(w))
+            kind = rng.random()
+            if kind < 0.5:
+                w[at] = f"e{rng.randrange(50)}"
+            elif kind < 0.8:
+                del w[at]
+            else:
+                w.insert(at, f"w{rng.randrange(500)}")
+        texts.append(w)
+    rows = [(i, " ".join(w), "en", "s") for i, w in enumerate(texts)]
+    expected = brute_components(rows, k, percent)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.groups(frame(spark, rows), k, percent).collect()}
+    assert got == expected and len({c for _, c in expected.values()}) > 20
+
+
+def test_members_without_common_differences_never_meet(spark):
+    """A star of 300 texts that are at 0.83 with each other gives a few candidates, not all pairs."""
+    rows = near_threshold(402, 0, 41, 300)[:300]
+    sets = [(i, i, sorted(hash(x) for x in shingle_set(t, 3))) for i, t, *_ in rows]
+    sets = spark.createDataFrame(sets, "node long, rep long, shingles array<long>")
+    stars = spark.createDataFrame([(i, 0, len(shingle_set(rows[i][1], 3)), i, False) for i in range(1, 300)], "x long, centre long, n int, root long, inside boolean")
+    assert near_dedup.large_pairs(stars, sets, 85).count() == 0
+
+
 def test_shingles_match_words():
     texts = [t.encode() for t in ("A b\tc a B C", "a", "", "x " * 50)]
     sets = list(shingles.shingle_sets(texts, 3))

@@ -5,9 +5,14 @@
 3. A bucket yields a star, not all pairs: its centre is the member that shares buckets with the most others (near a group's
    original), and each other member is compared with the centre only. Candidate edges are thus fewer than bucket entries.
 4. Edges are confirmed by exact Jaccard similarity of the full sets, and confirmed links are merged to components.
-5. A member that was a centre is done in that bucket. Buckets whose other members still belong to several components get further
-   centres, compared with all members of other components, twice as many in each round; a bucket is closed only when the members that
-   were no centre are one component. Every pair of a bucket is thus compared, in one component already, or ruled out by its sizes.
+5. The rest of a star is settled exactly. Where the members around a centre (over all of its buckets) belong to several components, small stars
+   compare the members of different components directly. Large ones describe each member by its difference to the centre. Two members are
+   alike only if their differences overlap so much that the rarest elements of both must hold a common one (prefix filter, with its bound on
+   positions), so only members that share such an element are compared. Members whose differences have nothing in common never meet,
+   however many there are. Candidates of both kinds are confirmed on full sets again.
+
+So every pair of a bucket is in one component already, or compared, or proven to be no link; a link is missed only if its ends share no band and no path
+of other links joins them.
 
 Defined results: null or empty texts, and texts of blanks, have no shingles and stand alone; documents without an id take no part in links and
 get no component; rows with the same id are one document; an empty table gives an empty result; extra columns are ignored.
@@ -19,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.llm import minhash
@@ -29,11 +34,18 @@ from tramline.llm.shingles import U, chunks, mix, shingle_sets
 
 K = 5
 PERCENT = 80
+#: Members beside one copy of their centre's set.
+PER_COPY = 256
+#: Around a centre with no more members than this, members are compared directly: at most 3.5 pairs a member.
+SMALL_STAR = 8
 
 
 def class_key(shingles: np.ndarray) -> int:
     """64-bit key of a set, as a signed number."""
-    return int((mix(shingles * U(0x9FB21C651E98DF25)).sum(dtype=np.uint64) ^ mix(shingles).sum(dtype=np.uint64) * U(3)).astype(np.int64)) if len(shingles) else 0
+    if not len(shingles):
+        return 0
+    one, two = (x.sum(dtype=np.uint64, keepdims=True) for x in (mix(shingles * U(0x9FB21C651E98DF25)), mix(shingles)))  # arrays wrap around silently
+    return int((one ^ two * U(3)).astype(np.int64)[0])
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
@@ -70,24 +82,75 @@ def _full(sets: list[np.ndarray]) -> dict[str, pa.Array]:
     return {"node": pa.array([class_key(s) for s in sets], pa.int64()), "shingles": _lists(sets)}
 
 
-def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (x, y) between classes whose full sets reach the similarity, as (a, b) of their smallest ids."""
+def beside_centres(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """(x, centre, a, b, sx, sy): the sets and smallest ids of each member ``x`` and its ``centre``.
+
+    A centre may have a third of all classes around it, so its row is copied once for every PER_COPY members and members are dealt over the copies.
+    """
     left = sets.select(F.col("node").alias("x"), F.col("rep").alias("a"), F.col("shingles").alias("sx"))
-    right = sets.select(F.col("node").alias("y"), F.col("rep").alias("b"), F.col("shingles").alias("sy"))
-    both = edges.join(left, "x").join(right, "y")
+    copies = stars.groupBy(F.col("centre").alias("node")).agg(F.ceil(F.count("*") / PER_COPY).cast("int").alias("copies"))
+    right = sets.join(copies, "node").select(F.col("node").alias("centre"), F.col("rep").alias("b"), F.col("shingles").alias("sy"), "copies", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    counted = stars.join(copies.select(F.col("node").alias("centre"), "copies"), "centre")  # of numbers only
+    dealt = counted.withColumn("copy", F.pmod(F.xxhash64("x"), F.col("copies")).cast("int")).drop("copies")
+    return dealt.join(left, "x").join(right.drop("copies"), ["centre", "copy"]).drop("copy")
+
+
+def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The edges (x, centre) between classes whose full sets reach the similarity, as (a, b) of their smallest ids."""
     shared = F.size(F.array_intersect("sx", "sy"))
-    both = both.select("a", "b", shared.alias("both"), (F.size("sx") + F.size("sy")).alias("sum"))
+    both = beside_centres(edges.select("x", "centre"), sets).select("a", "b", shared.alias("both"), (F.size("sx") + F.size("sy")).alias("sum"))
     return both.filter(100 * F.col("both").cast("long") >= percent * (F.col("sum") - F.col("both")).cast("long")).select("a", "b")
 
 
-def _alike(percent: int):
+def _alike(n: str, m: str, percent: int):
     """Sizes alone rule a link out beyond this."""
-    return 100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")
-
-
-def _pairs(compared: DataFrame) -> DataFrame:
-    """The distinct pairs (x, y) of member and centre, the smaller node first."""
-    return compared.select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y")).distinct()
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def small_pairs(stars: DataFrame, percent: int) -> DataFrame:
+    """(x, centre): the pairs of members of different components around a centre with few members."""
+    one = stars.select("centre", "x", "n", "root")
+    two = stars.select(F.col("centre").alias("c2"), F.col("x").alias("x2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
+    both = one.join(two, (F.col("centre") == F.col("c2")) & (F.col("x") < F.col("x2")) & (F.col("root") != F.col("root2")) & _alike("n", "n2", percent))
+    return both.select("x", F.col("x2").alias("centre"))
+
+
+def large_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, centre): the pairs of members around a centre that could be links by their differences to it.
+
+    With d = |difference to the centre|, n = |set| and r = (100 - percent) / (100 + percent), x and y are a link if their differences overlap in
+    at least (v(x) + v(y)) / 2 elements, v = d - r n. For a member x outside the centre's component, v(x) + v(y) is positive for every y. With the
+    least v of all possible partners in place of v(y), a member knows how many of its elements, rarest first, must hold a common one.
+    """
+    r = (100.0 - percent) / (100.0 + percent)
+    both = beside_centres(stars.select("x", "centre", "root", "inside"), sets)
+    differs = F.concat(F.array_except("sx", "sy"), F.array_except("sy", "sx"))
+    members = both.select("centre", "x", "root", "inside", F.size("sx").alias("n"), differs.alias("differs"))
+    members = materialise(members.withColumn("d", F.size("differs")).withColumn("v", F.col("d") - r * F.col("n")))
+    least = members.groupBy(F.col("centre").alias("c")).agg(F.min(F.when(F.col("inside"), F.col("v"))).alias("v_in"), F.min(F.when(~F.col("inside"), F.col("v"))).alias("v_out"))
+    elements = members.select("centre", "x", F.explode("differs").alias("element"))
+    common = elements.groupBy(F.col("centre").alias("e_centre"), F.col("element").alias("e_element")).agg(F.count("*").alias("times")).filter("times > 1")
+    elements = elements.join(common, (F.col("centre") == F.col("e_centre")) & (F.col("element") == F.col("e_element"))).select("centre", "x", "element", "times")
+    own = Window.partitionBy("centre", "x")
+    place = F.row_number().over(own.orderBy("times", "element")) - F.count("*").over(own)  # 0 is the last element
+    placed = elements.withColumn("place", place).select(F.col("centre").alias("p_centre"), F.col("x").alias("p_x"), "element", "place")
+    facts = members.select("centre", "x", "root", "inside", "n", "d", "v").join(least, F.col("centre") == F.col("c")).drop("c")
+    placed = placed.join(facts, (F.col("p_centre") == F.col("centre")) & (F.col("p_x") == F.col("x"))).drop("p_centre", "p_x")
+    prefix = lambda v: F.col("d") + F.col("place") <= F.col("d") - F.ceil((F.col("v") + F.col(v)) / 2 - 1e-6) + 1
+    outer = placed.filter(~F.col("inside"))
+    kept = materialise(
+        outer.filter(prefix("v_out")).withColumn("side", F.lit(0))
+        .unionByName(outer.filter(prefix("v_in")).withColumn("side", F.lit(1)))
+        .unionByName(placed.filter("inside").filter(prefix("v_out")).withColumn("side", F.lit(2)))
+        .select("centre", "element", "x", "root", "n", "v", "place", "side")
+    )
+    two = kept.select(*[F.col(c).alias(f"{c}_2") for c in kept.columns])
+    left = F.least(-F.col("place"), -F.col("place_2")) + 1  # elements that both still have, this one included
+    same = (F.col("centre") == F.col("centre_2")) & (F.col("element") == F.col("element_2")) & (F.col("root") != F.col("root_2"))
+    sides = ((F.col("side") == 0) & (F.col("side_2") == 0) & (F.col("x") < F.col("x_2"))) | ((F.col("side") == 1) & (F.col("side_2") == 2))
+    enough = left >= F.ceil((F.col("v") + F.col("v_2")) / 2 - 1e-6)
+    met = kept.join(two, same & sides & _alike("n", "n_2", percent) & enough)
+    return met.select(F.least("x", "x_2").alias("x"), F.greatest("x", "x_2").alias("centre"))
 
 
 def groups(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -102,35 +165,27 @@ def groups(docs: DataFrame, k: int = K, percent: int = PERCENT, doc_id: str = "d
     weight = shared.groupBy("node", "rep").agg(F.sum("size").alias("weight"))
     held = weight.select(F.col("node").alias("h_node"), F.col("rep").alias("h_rep"))
     sets = own.join(held, F.col("doc_id") == F.col("h_rep"), "left_semi").mapInArrow(_per_set(k, _full), "doc_id long, node long, shingles array<long>")
-    sets = materialise(sets.join(held, (F.col("doc_id") == F.col("h_rep")) & (F.col("node") == F.col("h_node"))).select("node", F.col("doc_id").alias("rep"), "shingles"))
-    shared = materialise(shared.join(weight.select(F.col("node").alias("w_node"), "weight"), F.col("node") == F.col("w_node")).select("bucket", "node", "rep", "n", "weight"))
-
-    first = F.max(F.struct("weight", (-F.col("rep")).alias("less"), "node", "n"))
-    centre = shared.groupBy(F.col("bucket").alias("c_bucket")).agg(first.alias("c")).select("c_bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"))
-    undone = shared.join(centre, F.col("bucket") == F.col("c_bucket")).filter(F.col("node") != F.col("centre"))
-    tried = materialise(_pairs(undone.filter(_alike(percent))))
-    links = materialise(confirmed(tried, sets, percent))
-    roots, centres = materialise(components(links)), 1
-    while True:
-        now = undone.join(roots, F.col("rep") == F.col("id"), "left").select("bucket", "node", "rep", "n", "weight", F.coalesce("root", "rep").alias("root"))
-        strongest = F.max(F.struct("weight", (-F.col("rep")).alias("less"), "root"))
-        open_ = now.groupBy(F.col("bucket").alias("c_bucket")).agg(strongest.alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        rest = now.join(open_.select("c_bucket", F.col("c.root").alias("c_root")), F.col("bucket") == F.col("c_bucket"))
-        rest = materialise(rest.select("bucket", "node", "rep", "n", "weight", "root", "c_root"))
-        if rest.isEmpty():
-            break
-        part = F.pmod(F.xxhash64("node"), F.lit(centres)).alias("part")  # one centre for each part of a bucket
-        chosen = F.max(F.struct("weight", (-F.col("rep")).alias("less"), "node", "n", "root"))
-        next_ = rest.filter("root <> c_root").groupBy(F.col("bucket").alias("c_bucket"), part).agg(chosen.alias("c"))
-        next_ = materialise(next_.select("c_bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"), F.col("c.root").alias("s_root")))
-        more = rest.join(next_, F.col("bucket") == F.col("c_bucket")).filter((F.col("root") != F.col("s_root")) & _alike(percent))
-        more = materialise(_pairs(more).join(tried, ["x", "y"], "left_anti"))
-        fresh = materialise(confirmed(more, sets, percent))
-        undone = rest.join(next_, (F.col("bucket") == F.col("c_bucket")) & (F.col("node") == F.col("centre")), "left_anti").drop("root", "c_root")
-        tried, centres = tried.unionByName(more), 2 * centres
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            roots = materialise(components(links))
+    sets = materialise(sets.join(held, (F.col("doc_id") == F.col("h_rep")) & (F.col("node") == F.col("h_node"))).select("node", F.col("doc_id").alias("rep"), "shingles").dropDuplicates(["node"]))
+
+    shared = shared.join(weight.select(F.col("node").alias("w_node"), "weight"), F.col("node") == F.col("w_node"))
+    strongest = F.max(F.struct("weight", (-F.col("rep")).alias("less"), "node", "n"))
+    shared = materialise(shared.select("bucket", "node", "rep", "n", "weight"))
+    centre = shared.groupBy(F.col("bucket").alias("c_bucket")).agg(strongest.alias("c")).select("c_bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"), (-F.col("c.less")).alias("c_rep"))
+    stars = shared.join(centre, F.col("bucket") == F.col("c_bucket")).filter(F.col("node") != F.col("centre"))
+    stars = materialise(stars.select(F.col("node").alias("x"), "rep", "n", "centre", "cn", "c_rep").distinct())
+    links = materialise(confirmed(stars.filter(_alike("n", "cn", percent)), sets, percent))
+    roots = materialise(components(links))
+
+    # what the stars leave open
+    root_of = lambda rep, name: roots.select(F.col("id").alias(rep), F.col("root").alias(name))
+    placed = stars.join(root_of("rep", "r"), "rep", "left").join(root_of("c_rep", "c_root"), "c_rep", "left").select("x", "n", "centre", F.coalesce("r", "rep").alias("root"), F.coalesce("c_root", "c_rep").alias("c_root"))
+    placed = materialise(placed.withColumn("inside", F.col("root") == F.col("c_root")).drop("c_root"))
+    open_ = placed.groupBy(F.col("centre").alias("o_centre")).agg(F.count("*").alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").drop("lo", "hi")
+    rest = materialise(placed.join(open_, F.col("centre") == F.col("o_centre")).drop("o_centre"))
+    pairs = small_pairs(rest.filter(F.col("members") <= SMALL_STAR), percent).unionByName(large_pairs(rest.filter(F.col("members") > SMALL_STAR), sets, percent)).distinct()
+    found = materialise(confirmed(materialise(pairs), sets, percent))
+    if not found.isEmpty():
+        roots = materialise(components(links.unionByName(found)))
 
     named = classes.select(F.col("node").alias("k_node"), F.col("rep")).join(roots, F.col("rep") == F.col("id"), "left").select("k_node", F.coalesce("root", "rep").alias("root"))
     out = signed.select("doc_id", "n", "node").join(named, F.col("node") == F.col("k_node"), "left")
