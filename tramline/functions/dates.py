@@ -22,9 +22,8 @@ def parse_date(x: Column, default: Column | None = None) -> Column:
 
 def parse_time(s: Column) -> Column:
     """HH:MM:SS to seconds since midnight; hours may exceed 24; anything but three numbers gives null."""
-    parts = F.split(F.trim(s.cast("string")), ":")
-    h, m, sec = (F.trim(F.get(parts, F.lit(i))).try_cast("int") for i in range(3))
-    return F.when(F.size(parts) == 3, h * 3600 + m * 60 + sec)
+    read = lambda parts: F.when(F.size(parts) == 3, F.aggregate(parts, F.lit(0), lambda total, x: total * 60 + F.trim(x).try_cast("int")))
+    return F.get(F.transform(F.array(F.split(F.trim(s.cast("string")), ":")), read), F.lit(0))  # split once
 
 
 def time_to_minutes_from_midnight(s: Column) -> Column:

@@ -46,15 +46,19 @@ def lines(routes: DataFrame) -> DataFrame:
 
 
 def timed_stops(stop_times: DataFrame) -> DataFrame:
-    """(feed_id, trip_id, stop_id, minute, row_idx) of the stop times that can be read."""
-    df = stop_times.select("feed_id", "trip_id", "stop_id", stop_minute(F.col("arrival_time"), F.col("departure_time")).alias("minute"), "row_idx")
-    return df.filter("minute is not null")
+    """(feed_id, trip_id, stop_id, minute, row_idx) of the stop times that can be read.
+
+    The minute is made by a generator, so the optimiser can't repeat the parsing in a filter.
+    """
+    minute = stop_minute(F.col("arrival_time"), F.col("departure_time"))
+    return stop_times.select("feed_id", "trip_id", "stop_id", F.explode(F.array_compact(F.array(minute))).alias("minute"), "row_idx")
 
 
 def trip_stop_times(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
     """(feed_id, trip_id, service_id, stops array<struct<minute, row_idx, stop_id>>)."""
     known = last_rows(trips.select("feed_id", "trip_id", "service_id", "row_idx"), "feed_id", "trip_id").drop("row_idx")
-    grouped = timed_stops(stop_times).groupBy("feed_id", "trip_id").agg(F.sort_array(F.collect_list(F.struct("minute", "row_idx", "stop_id"))).alias("stops"))
+    here = stop_times.join(known.select("feed_id", "trip_id"), ["feed_id", "trip_id"], "left_semi")
+    grouped = timed_stops(here).groupBy("feed_id", "trip_id").agg(F.sort_array(F.collect_list(F.struct("minute", "row_idx", "stop_id"))).alias("stops"))
     return grouped.join(known, ["feed_id", "trip_id"])
 
 
@@ -65,10 +69,12 @@ def journey_patterns(stop_times: DataFrame, trips: DataFrame, line_of_route: Dat
     """
     known = last_rows(trips.select("feed_id", "trip_id", "route_id", "service_id", "row_idx"), "feed_id", "trip_id").drop("row_idx")
     known = known.join(line_of_route, ["feed_id", "route_id"]).join(days_of_service.filter(F.size("days") > 0), ["feed_id", "service_id"])
+    # stop times of other trips go before anything is read from them; the exchange by trip serves the grouping too
+    here = stop_times.join(known.select("feed_id", "trip_id"), ["feed_id", "trip_id"], "left_semi")
     # one pass over the stop times: unknown stops count for the first row only, as collect_list skips nulls
-    timed = timed_stops(stop_times).join(stop_numbers, ["feed_id", "stop_id"], "left")
-    here = F.sort_array(F.collect_list(F.when(F.col("number").isNotNull(), F.struct("minute", "row_idx", "number"))))
-    placed = timed.groupBy("feed_id", "trip_id").agg(here.alias("s"), F.min("row_idx").alias("first_row")).filter(F.size("s") >= 2)
+    timed = timed_stops(here).join(stop_numbers, ["feed_id", "stop_id"], "left")
+    visits = F.sort_array(F.collect_list(F.when(F.col("number").isNotNull(), F.struct("minute", "row_idx", "number"))))
+    placed = timed.groupBy("feed_id", "trip_id").agg(visits.alias("s"), F.min("row_idx").alias("first_row")).filter(F.size("s") >= 2)
     trips_with = placed.join(known, ["feed_id", "trip_id"])
     pattern = trips_with.select("feed_id", "line_id", F.transform("s", lambda x: x["number"]).alias("stops"), F.transform("s", lambda x: x["minute"]).alias("times_within_day"), "days", "first_row")
     merged = pattern.groupBy("feed_id", "line_id", "stops", "times_within_day")

@@ -44,6 +44,14 @@ def name_clusters(stops: DataFrame) -> DataFrame:
     return stops.withColumn("n", n).filter("n > 1").drop("n")
 
 
+def numbered(stops: DataFrame, name: str) -> DataFrame:
+    """Adds dense numbers over all feeds: a feed's offset plus the place in the feed, so rows are never sorted over all feeds."""
+    local = stops.withColumn("local", F.row_number().over(Window.partitionBy("feed_id").orderBy("row_idx", "stop_id")) - 1)
+    sizes = local.groupBy("feed_id").agg(F.count("*").alias("n"))
+    offsets = sizes.select("feed_id", (F.sum("n").over(Window.orderBy("feed_id")) - F.col("n")).alias("offset"))  # one row a feed
+    return local.join(offsets, "feed_id").withColumn(name, (F.col("offset") + F.col("local")).cast("long")).drop("local", "offset")
+
+
 def cluster_roots(stops: DataFrame, radius_m: float = CLUSTER_M) -> DataFrame:
     """(id, root): connected groups of equally named stops near each other. ``stops`` has a unique id in file order."""
     links = ellipse_pairs(stops.select("id", "lat", "lon", "feed_id", "stop_name"), radius_m / 1000, ["feed_id", "stop_name"])
@@ -52,9 +60,8 @@ def cluster_roots(stops: DataFrame, radius_m: float = CLUSTER_M) -> DataFrame:
 
 def deduplicate_stops(stops: DataFrame, radius_m: float = CLUSTER_M) -> tuple[DataFrame, DataFrame]:
     """(stops, remap): each cluster becomes its first stop at the mean position; remap is (feed_id, stop_id, exemplar)."""
-    numbered = stored(stops.withColumn("id", F.row_number().over(Window.partitionBy("feed_id").orderBy("row_idx", "stop_id")) + F.shiftleft(F.pmod(F.xxhash64("feed_id"), F.lit(1 << 22)), 40)))
-    roots = cluster_roots(numbered, radius_m)
-    marked = numbered.join(roots, "id", "left").withColumn("cluster", F.coalesce("root", "id"))
+    own = stored(numbered(stops, "id"))
+    marked = own.join(cluster_roots(own, radius_m), "id", "left").withColumn("cluster", F.coalesce("root", "id"))
     mean = marked.groupBy("feed_id", "cluster").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.min_by(F.struct("stop_id", "stop_name", "parent_station", "row_idx"), "id").alias("first"), F.count("*").alias("n"))
     out = mean.select("feed_id", "first.stop_id", "first.stop_name", "lat", "lon", "first.parent_station", "first.row_idx", "n")
     exemplar = mean.select(F.col("feed_id").alias("m_feed"), F.col("cluster").alias("m"), F.col("first.stop_id").alias("exemplar"))
@@ -77,15 +84,8 @@ def pull_stops(tables: dict[str, DataFrame], invalid: Predicate) -> tuple[DataFr
 
 
 def numbered_stops(stops: DataFrame, remap: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One list of places over all feeds, (idx, feed_id, stop_id, name, lat, lon), and (feed_id, stop_id, idx) of every stop; null where it has no place.
-
-    Numbers are a feed's offset plus the place in the feed, so rows are never sorted over all feeds.
-    """
-    located = stops.filter("lat is not null and lon is not null")
-    local = located.withColumn("local", F.row_number().over(Window.partitionBy("feed_id").orderBy("row_idx", "stop_id")) - 1)
-    sizes = local.groupBy("feed_id").agg(F.count("*").alias("n"))
-    offsets = sizes.select("feed_id", (F.sum("n").over(Window.orderBy("feed_id")) - F.col("n")).alias("offset"))  # one row a feed
-    places = local.join(offsets, "feed_id").select((F.col("offset") + F.col("local")).cast("long").alias("idx"), "feed_id", "stop_id", F.col("stop_name").alias("name"), "lat", "lon")
+    """One list of places over all feeds, (idx, feed_id, stop_id, name, lat, lon), and (feed_id, stop_id, idx) of every stop; null where it has no place."""
+    places = numbered(stops.filter("lat is not null and lon is not null"), "idx").select("idx", "feed_id", "stop_id", F.col("stop_name").alias("name"), "lat", "lon")
     own = places.select("feed_id", "stop_id", "idx")
     moved = remap.join(own.select("feed_id", F.col("stop_id").alias("exemplar"), "idx"), ["feed_id", "exemplar"], "left").select("feed_id", "stop_id", "idx")
     return places, own.join(moved, ["feed_id", "stop_id"], "left_anti").unionByName(moved)
