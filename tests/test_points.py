@@ -57,17 +57,34 @@ def test_reduce_small(spark):
     assert len({v[0] for v in reduced(spark, [(45, -122), (45.0009, -122)]).values()}) == 2
 
 
-def test_reduce_fuzz(spark):
-    rng = random.Random(123)
-    pts = [(45 + rng.uniform(-0.001, 0.001), -122 + rng.uniform(-0.001, 0.001)) for _ in range(200)]
-    got = reduced(spark, pts)
-    reps = {v[0]: v[1:] for v in got.values()}
-    assert len(got) == 200 and len(reps) <= 50
+def one_by_one(pts, r):
+    """The definition, as a loop over the points."""
+    links = {i: [j for j in range(len(pts)) if j != i and far(pts[i], pts[j]) < 2 * r] for i in range(len(pts))}
+    out = {}
+    for c in sorted(links, key=lambda i: (-len(links[i]), i)):
+        if c in out:
+            continue
+        members = [c, *(j for j in links[c] if j not in out and far(pts[c], pts[j]) <= r)]
+        while True:
+            lat, lon = (sum(pts[j][k] for j in members) / len(members) for k in (0, 1))
+            left = [j for j in members if far(pts[j], (lat, lon)) <= r]
+            if left == members:
+                break
+            members = left
+        out |= {j: (c, lat, lon) for j in members}
+    return out
+
+
+@pytest.mark.parametrize(("n", "spread"), [(200, 0.001), (150, 0.0004), (120, 0.004)])
+def test_reduce_fuzz(spark, n, spread):
+    rng = random.Random(n)
+    pts = [(52 + rng.uniform(-spread, spread), 13 + rng.uniform(-spread, spread)) for _ in range(n)]
+    got, expected = reduced(spark, pts), one_by_one(pts, 25.0)
+    assert {i: v[0] for i, v in got.items()} == {i: v[0] for i, v in expected.items()}
+    assert all(abs(got[i][k] - expected[i][k]) < 1e-9 for i in got for k in (1, 2))
     assert all(far(pts[i], v[1:]) <= 25 + 1e-6 for i, v in got.items())
-    moved = {r for r, p in reps.items() if far(pts[r], p) > 1e-6}
-    for r in reps:
-        for s in reps:
-            assert r >= s or far(reps[r], reps[s]) >= 25 - 1e-6 or not ({r, s} <= moved)
+    reps, mapping = point_reduce.representatives(point_reduce.reduce_points(frame(spark, pts), 25.0))
+    assert sorted(r.idx for r in reps.collect()) == list(range(len({v[0] for v in got.values()}))) and mapping.count() == n
 
 
 def test_cells(spark):

@@ -1,106 +1,65 @@
-"""Reduction of points to representatives within a distance.
+"""Reduction of points to representatives within a distance, by joins and aggregations only.
 
-Merging is greedy and depends on its order, but never crosses a connected component of the link graph (points within two radii). Components are found by
-distributed joins; each is then merged on its own in a pandas group, all in parallel.
+Points stand in the order of their number of links (other points within two radii), ties by id. In that order, each point that is still free becomes the centre
+of a cluster of the free points within one radius around it. A cluster's place is the mean of its members; members farther than a radius from it
+are set free again until all are within. The centre always stays: the mean of points in a disc lies in the disc.
+
+Two points that could claim the same member are linked, so a point may go as soon as no free point that it is linked to stands before it. All
+such points go at once, wherever they are, and the result is that of going through the points one by one. No group of points is ever gathered in a task.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.functions.geo import EARTH_RADIUS_M
-from tramline.functions.storage import ship, stored
-from tramline.operators.components import components
-from tramline.operators.spatial import proximity_graph
+from tramline.functions.geo import haversine_m
+from tramline.functions.storage import stored
+from tramline.operators.spatial import close_pairs
 
 MAX_M = 25.0
-MAX_ROUNDS = 1000
-
-
-def _far(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
-    a = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
-    return 2 * EARTH_RADIUS_M * math.asin(min(1.0, math.sqrt(a)))
-
-
-class Reducer:
-    """One component: ids in order, positions in radians, links as sets of neighbours."""
+STEPS = 3
 
-    def __init__(self, ids: list[int], lat: np.ndarray, lon: np.ndarray, links: list[list[int]], max_m: float) -> None:
-        self.at = {i: (math.radians(a), math.radians(b)) for i, a, b in zip(ids, lat, lon, strict=True)}
-        self.links = {i: set(n) for i, n in zip(ids, links, strict=True)}
-        self.max_m, self.to, self.merged = max_m, {}, set()
 
-    def within(self, centre: tuple[float, float], around: int) -> list[int]:
-        return [i for i in (around, *sorted(self.links[around])) if _far(*centre, *self.at[i]) <= self.max_m]
-
-    def cluster(self, around: int) -> tuple[list[int], tuple[float, float]]:
-        """Members and their centroid, iterated until the members stay the same."""
-        members = self.within(self.at[around], around)
-        centre = self.at[around]
-        for _ in range(MAX_ROUNDS):
-            if not members:
-                break
-            centre = tuple(float(np.mean([self.at[i][k] for i in members])) for k in (0, 1))
-            again = self.within(centre, around)
-            if set(again) == set(members):
-                break
-            members = again
-        return members, centre
-
-    def merge(self, members: list[int], centre: tuple[float, float]) -> None:
-        keep = members[0]
-        self.at[keep] = centre
-        self.merged.add(keep)
-        for gone in members[1:]:
-            self.to[gone] = keep
-            near = self.links[gone] | {v for n in self.links[gone] for v in self.links[n]}
-            for v in near - {keep, gone}:
-                if _far(*centre, *self.at[v]) < 2 * self.max_m:
-                    self.links[keep].add(v)
-                    self.links[v].add(keep)
-            for n in self.links.pop(gone):
-                self.links[n].discard(gone)
-
-    def run(self) -> None:
-        for u in sorted(self.links, key=lambda i: (-len(self.links[i]), i)):
-            if u in self.links:
-                members, centre = self.cluster(u)
-                if len(members) > 1 and self.merged.isdisjoint(members):
-                    self.merge(members, centre)
+def _settled(members: DataFrame, max_m: float) -> DataFrame:
+    """(centre, id, c_lat, c_lon): members (centre, id, lat, lon) that stay with their centre, and the cluster's place."""
+    while True:
+        for _ in range(STEPS):
+            mean = lambda c: F.degrees(F.avg(F.radians(c)))
+            place = members.groupBy(F.col("centre").alias("at")).agg(mean("lat").alias("c_lat"), mean("lon").alias("c_lon"), F.count("*").alias("n"))
+            both = members.select("centre", "id", "lat", "lon").join(place, F.col("centre") == F.col("at")).drop("at")
+            members = both.filter(haversine_m(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")) <= max_m)
+        members = stored(members)
+        if members.groupBy("centre", "n").agg(F.count("*").alias("left")).filter("left < n").isEmpty():
+            return members.select("centre", "id", "c_lat", "c_lon")
 
 
 def reduce_points(points: DataFrame, max_m: float = MAX_M) -> DataFrame:
-    """(id, lat, lon) -> (id, rep, rep_lat, rep_lon): every point is within ``max_m`` of its representative."""
-    ship(points.sparkSession)
-    points = stored(points.select("id", "lat", "lon"))
-    links = stored(proximity_graph(points, 2 * max_m))
-    both = links.unionByName(links.select(F.col("j").alias("i"), F.col("i").alias("j")))
-    neighbours = both.groupBy(F.col("i").alias("id")).agg(F.collect_list("j").alias("links"))
-    roots = components(links.select(F.col("i").alias("a"), F.col("j").alias("b")))
-    linked = points.join(roots, "id").join(neighbours, "id")
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id")
-        r = Reducer(group["id"].tolist(), group["lat"].to_numpy(), group["lon"].to_numpy(), [list(x) for x in group["links"]], max_m)
-        r.run()
-        reps = [r.to.get(i, i) for i in group["id"]]
-        pos = [(math.degrees(r.at[i][0]), math.degrees(r.at[i][1])) if i in r.merged else None for i in reps]
-        raw = {i: (a, b) for i, a, b in zip(group["id"], group["lat"], group["lon"], strict=True)}
-        pos = [p or raw[i] for p, i in zip(pos, reps, strict=True)]
-        return pd.DataFrame({"id": group["id"], "rep": reps, "rep_lat": [p[0] for p in pos], "rep_lon": [p[1] for p in pos]})
-
-    merged = linked.groupBy("root").applyInPandas(run, "id long, rep long, rep_lat double, rep_lon double")
-    alone = points.join(roots, "id", "left_anti").select("id", F.col("id").alias("rep"), F.col("lat").alias("rep_lat"), F.col("lon").alias("rep_lon"))
-    return merged.unionByName(alone)
+    """(id, lat, lon) -> (id, rep, rep_lat, rep_lon): every point is within ``max_m`` of its representative. Ids are unique; points without a place are left out."""
+    points = stored(points.select("id", "lat", "lon").filter("lat is not null and lon is not null and not isnan(lat) and not isnan(lon)"))
+    near = haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon")) <= max_m
+    links = close_pairs(points, 2 * max_m).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), near.alias("near"))
+    links = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "near")))
+    degree = links.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("degree"))
+    first, second = (degree.select(F.col("id").alias(c), F.col("degree").alias(f"{c}_degree")) for c in "ab")
+    before = (F.col("b_degree") > F.col("a_degree")) | (F.col("b_degree") == F.col("a_degree")) & (F.col("b") < F.col("a"))
+    links = stored(links.join(first, "a").join(second, "b").select("a", "b", "near", before.alias("waits")))
+    done, free = [], stored(degree.select("id"))
+    while not free.isEmpty():
+        # links between free points; a point that waits for none is a centre
+        links = stored(links.join(free.select(F.col("id").alias("a")), "a", "left_semi").join(free.select(F.col("id").alias("b")), "b", "left_semi"))
+        centres = free.join(links.filter("waits").select(F.col("a").alias("id")).distinct(), "id", "left_anti")
+        around = links.filter("near").join(centres.select(F.col("id").alias("a")), "a", "left_semi").select(F.col("a").alias("centre"), F.col("b").alias("id"))
+        done.append(_settled(around.unionByName(centres.select(F.col("id").alias("centre"), "id")).join(points, "id").select("centre", "id", "lat", "lon"), max_m))
+        free = stored(free.join(done[-1].select("id"), "id", "left_anti"))
+    alone = points.join(degree, "id", "left_anti").select("id", F.col("id").alias("rep"), F.col("lat").alias("rep_lat"), F.col("lon").alias("rep_lon"))
+    for found in done:
+        alone = alone.unionByName(found.select("id", F.col("centre").alias("rep"), F.col("c_lat").alias("rep_lat"), F.col("c_lon").alias("rep_lon")))
+    return alone
 
 
 def representatives(reduced: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(idx, lat, lon) of the representatives, numbered from 0 by id, and the mapping (id, idx)."""
-    reps = reduced.select("rep", "rep_lat", "rep_lon").distinct().withColumn("idx", F.row_number().over(Window.orderBy("rep")) - 1)
+    """(idx, lat, lon) of the representatives, numbered from 0 by id, and the mapping (id, idx). Only the representatives are sorted."""
+    reps = reduced.filter("id = rep").select("rep", "rep_lat", "rep_lon").withColumn("idx", F.row_number().over(Window.orderBy("rep")) - 1)
     mapping = reduced.join(reps.select("rep", "idx"), "rep").select("id", "idx")
     return reps.select("idx", F.col("rep_lat").alias("lat"), F.col("rep_lon").alias("lon")), mapping
