@@ -42,6 +42,32 @@ def test_codec(order):
         assert flac._scan(s, at, info) == [at + p[1] for p in points]
 
 
+@pytest.mark.parametrize("kind", ["constant", "verbatim", "fixed", "lpc"])
+def test_wasted_bits(kind):
+    """Frames of another encoder: samples whose two low bits are 0 are coded with six bits."""
+    rng = np.random.default_rng(4)
+    small = np.full(64, -7) if kind == "constant" else np.clip(np.cumsum(rng.integers(-3, 4, 64)), -32, 31)
+    bits = lambda v, n: [int(x) for x in np.binary_repr(int(v) & ((1 << n) - 1), n)]
+    code = {"constant": 0, "verbatim": 1, "fixed": 9, "lpc": 32}[kind]
+    body = [0, *bits(code, 6), 1, 0, 1]  # two wasted bits
+    if kind == "constant":
+        body += bits(small[0], 6)
+    elif kind == "verbatim":
+        body += [b for v in small for b in bits(v, 6)]
+    else:
+        body += bits(small[0], 6) + ([] if kind == "fixed" else [*bits(3, 4), *bits(0, 5), *bits(1, 4)])
+        body += [*bits(0, 2), *bits(0, 4), *bits(1, 4)]  # one partition, Rice parameter 1
+        for d in np.diff(small).tolist():
+            folded = d * 2 if d >= 0 else -d * 2 - 1
+            body += [0] * (folded >> 1) + [1, folded & 1]
+    frame_ = flac._frame_header(0, 64) + np.packbits(body).tobytes()
+    lane = np.frombuffer(frame_, np.uint8)
+    frame_ += int(flac.crc16_lanes(lane, np.array([0]), np.array([len(lane)]))[0]).to_bytes(2, "big")
+    samples = small * 4
+    stream = flac._stream(samples, [frame_])
+    assert [b for _, _, b in flac.decode_many([stream])[0][1]] == [(samples + 128).astype(np.uint8).tobytes()]
+
+
 def test_damage():
     s = bytearray(flac.encode(flac.pad(prose(3, 3000).encode())))
     for at in (len(s) // 2, len(s) - 1):

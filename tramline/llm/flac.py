@@ -190,7 +190,7 @@ def _stream(x: np.ndarray, frames: list[bytes]) -> bytes:
     info = struct.pack(">HH", block, block) + min(sizes).to_bytes(3, "big") + max(sizes).to_bytes(3, "big")
     info += ((RATE << 44) | (0 << 41) | (7 << 36) | len(x)).to_bytes(8, "big") + hashlib.md5(x.astype(np.int8).tobytes()).digest()
     starts = np.cumsum([0, *sizes[:-1]])
-    points = b"".join(struct.pack(">QQH", i * BLOCK, int(s), min(BLOCK, len(x) - i * BLOCK)) for i, s in enumerate(starts))[: (1 << 24) // 18 * 18 - 18]
+    points = b"".join(struct.pack(">QQH", i * BLOCK, int(s), min(BLOCK, len(x) - i * BLOCK)) for i, s in enumerate(starts))  # a text has less than 2**31 bytes, so these fit their block
     return b"fLaC" + b"\x00" + len(info).to_bytes(3, "big") + info + b"\x83" + len(points).to_bytes(3, "big") + points + b"".join(frames)
 
 
@@ -282,26 +282,41 @@ def _codes(bits: np.ndarray, at: int, k: int, n: int) -> tuple[np.ndarray, int]:
     return (folded >> 1) ^ -(folded & 1), at + (int(ends[-1]) if n else 0)
 
 
-def _read_subframe(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, list[int], int]:
-    """(warm-up samples, residual, coefficients, shift); samples without a predictor come as a residual of order 0."""
-    code, wasted = _number(bits, 1, 6), int(bits[7])
-    if bits[0] or wasted:
-        raise Damaged("unsupported subframe")
-    at, none = 8, np.zeros(0, np.int64)
-    plain = lambda m: np.packbits(bits[at : at + 8 * m]).view(np.int8).astype(np.int64)
+def _read_subframe(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, list[int], int, int]:
+    """(warm-up samples, residual, coefficients, shift, wasted bits); samples without a predictor come as a residual of order 0.
+
+    Wasted bits are low bits that are 0 in all samples of the frame; samples are coded without them.
+    """
+    code, at, wasted = _number(bits, 1, 6), 8, 0
+    if bits[0]:
+        raise Damaged("a subframe without its leading zero")
+    if bits[7]:
+        wasted = int(bits[8:16].argmax()) + 1
+        at += wasted
+        if wasted > 7 or not bits[at - 1]:
+            raise Damaged("no bits are left of the samples")
+    width, none = 8 - wasted, np.zeros(0, np.int64)
+
+    def plain(m: int) -> np.ndarray:
+        raw = bits[at : at + width * m].reshape(m, width)
+        if raw.size == 0:
+            return none
+        signed = np.concatenate([np.repeat(raw[:, :1], wasted, axis=1), raw], axis=1)  # the sign goes in front
+        return np.packbits(signed).view(np.int8).astype(np.int64)
+
     if code == 0:
-        return none, np.full(n, plain(1)[0]), [], 0
+        return none, np.full(n, plain(1)[0]), [], 0, wasted
     if code == 1:
-        return none, plain(n), [], 0
+        return none, plain(n), [], 0, wasted
     if 8 <= code <= 12:
         order, shift = code - 8, 0
         coefficients = FIXED[order]
         warm = plain(order)
-        at += 8 * order
+        at += width * order
     elif code >= 32:
         order = code - 31
         warm = plain(order)
-        at += 8 * order
+        at += width * order
         precision, shift = _number(bits, at, 4) + 1, _number(bits, at + 4, 5, True)
         coefficients = [_number(bits, at + 9 + i * precision, precision, True) for i in range(order)]
         at += 9 + precision * order
@@ -324,14 +339,14 @@ def _read_subframe(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, li
         else:
             found, at = _codes(bits, at, k, m)
             out.append(found)
-    return warm, np.concatenate(out), coefficients, shift
+    return warm, np.concatenate(out), coefficients, shift, wasted
 
 
-def _predicted(frames: list[tuple[np.ndarray, np.ndarray, list[int], int]]) -> list[np.ndarray]:
+def _predicted(frames: list[tuple[np.ndarray, np.ndarray, list[int], int, int]]) -> list[np.ndarray]:
     """Samples of all frames: one step of every predictor at a time."""
     out: list = [None] * len(frames)
     lanes = []
-    for i, (warm, residual, coefficients, _) in enumerate(frames):
+    for i, (_, residual, coefficients, _, _) in enumerate(frames):
         if coefficients:
             lanes.append(i)
         else:
@@ -344,7 +359,7 @@ def _predicted(frames: list[tuple[np.ndarray, np.ndarray, list[int], int]]) -> l
         x = np.zeros((depth + int(size[0]), len(own)), np.int64)
         shift = np.array([frames[i][3] for i in own], np.int64)
         for j, i in enumerate(own):
-            warm, residual, coefficients, _ = frames[i]
+            warm, residual, coefficients, _, _ = frames[i]
             c[: len(coefficients), j] = coefficients
             x[depth - len(warm) : depth, j] = warm
             x[depth : depth + len(residual), j] = residual
@@ -356,7 +371,7 @@ def _predicted(frames: list[tuple[np.ndarray, np.ndarray, list[int], int]]) -> l
             x[depth + t, :m] += guess >> shift[:m]
         for j, i in enumerate(own):
             out[i] = x[depth - len(frames[i][0]) : depth + size[j], j]
-    return out
+    return [x << f[4] for x, f in zip(out, frames, strict=True)]
 
 
 def decode_many(streams: list[bytes]) -> list[tuple[dict, list[tuple[int, int, bytes]]]]:
