@@ -155,6 +155,23 @@ def test_shards(spark, odd, per_block):
     assert sharding.shuffled(odd, 4, rows_per_block=per_block).count() == len(ODD)
 
 
+def test_repeated_rows_are_shuffled_apart(spark):
+    rows = [(i, prose(i, 3), "en", "s") for i in range(1000)] * 2 + [(5000, "hot", "en", "s")] * 800 + [(None, None, None, None)] * 3
+    docs = frame(spark, rows)
+    got = sharding.shuffled(docs).collect()
+    shards, slots = defaultdict(list), defaultdict(list)
+    for r in got:
+        shards[r.doc_id].append(r.shard)
+        slots[r.shard].append(r.slot)
+    assert sorted(Counter(r.doc_id for r in got).values()) == sorted(Counter(r[0] for r in rows).values())
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert 30 < sum(len(set(v)) == 1 for k, v in shards.items() if k is not None and k < 1000) < 100  # 62.5 of 1000 by chance
+    assert all(25 <= n <= 80 for n in Counter(shards[5000]).values()) and len(set(shards[5000])) == 16
+    # a uniform permutation: over seeds, every row meets every shard about equally often
+    met = Counter((r.doc_id, r.shard) for seed in range(15) for r in sharding.shuffled(frame(spark, rows[:8]), 4, seed=seed, rows_per_block=3).collect())
+    assert all(met[i, s] in range(0, 13) for i in range(8) for s in range(4))
+
+
 def test_no_rows_to_shard(spark, empty):
     assert sharding.shuffled(empty).count() == 0
 

@@ -1,6 +1,7 @@
 """Uniform shuffle into shards of exact size by a hypergeometric communication matrix. DataFrame functions only.
 
-1. Rows fall into input blocks by a hash of their identity (not by their physical partition, so a lost executor changes nothing).
+1. Rows fall into input blocks by a hash of their identity (not by their physical partition, so a lost executor changes nothing). Rows with equal
+   identities are counted, which combines map-side, and numbered by the count, so equal rows are shuffled apart like any others.
 2. The matrix of block-to-shard counts is drawn exactly as a uniform permutation would give it: the block list is halved again
    and again, each half's share of every shard's seats being a multivariate hypergeometric draw (inverse transform from the mode).
 3. Local permutation: rows of a block are put in a seeded random order and dealt out to shards by the block's row of counts.
@@ -9,8 +10,9 @@
 
 Only ids, sizes and hashes are exchanged, never texts.
 
-Defined results: null text counts 1 byte and has the checksum of no bytes; repeated rows are separate rows (each gets its own slot); an empty table
-gives an empty result; extra columns are ignored.
+Defined results: null text counts 1 byte and has the checksum of no bytes; a null id is an id like others; repeated rows are separate rows, each
+with its own place; rows with equal ids, sizes and checksums stand in no order among themselves; texts of any length only give their size and checksum; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.common import let, unit_interval
+from tramline.llm.common import let, materialise, unit_interval
 
 ROWS_PER_BLOCK = 50_000
 SEED = 20_240_601
@@ -124,26 +126,28 @@ def shuffled(docs: DataFrame, n_shards: int = 16, seed: int = SEED, rows_per_blo
     """(doc_id, size, text_crc32, shard, slot): a uniform random permutation cut into ``n_shards`` shards of equal counts."""
     bytes_ = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(bytes_) + 1).cast("long").alias("size"), F.crc32(bytes_).alias("text_crc32"))
-    identity = [F.col("doc_id"), F.col("size"), F.col("text_crc32")]
+    rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("times"))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("times")
+    identity = [F.col("doc_id"), F.col("size"), F.col("text_crc32"), F.col("copy")]
     n = docs.count()  # a scalar, from Parquet footers
     n_blocks = 1
     while n_blocks * rows_per_block < n:
         n_blocks *= 2
     rows = rows.withColumns({"r1": F.xxhash64(F.lit(seed), *identity), "r2": F.xxhash64(F.lit(seed + 1), *identity)})
-    rows = rows.withColumn("block", F.pmod(F.col("r1"), F.lit(n_blocks)))
+    rows = materialise(rows.withColumn("block", F.pmod(F.col("r1"), F.lit(n_blocks))))  # ids and hashes, read again for the matrix and for both permutations
     matrix = communication_matrix(rows.groupBy("block").agg(F.count("*").alias("n")), n_blocks, n_shards, seed)
     ends = F.transform("share", lambda _, i: F.aggregate(F.slice("share", F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, x: a + x))
     matrix = matrix.select((F.col("node") - n_blocks).alias("block"), ends.alias("ends"))
-    local = Window.partitionBy("block").orderBy(F.shiftright("r1", 20), "r2", "doc_id", "size", "text_crc32")
+    local = Window.partitionBy("block").orderBy(F.shiftright("r1", 20), "r2", "doc_id", "size", "text_crc32", "copy")
     placed = rows.withColumn("rank", F.row_number().over(local)).join(matrix, "block")
     placed = placed.withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("rank"))))
     # second permutation: ranges of r2, about rows_per_block rows in each
     n_ranges = max(1, n_blocks // n_shards + (n_blocks % n_shards > 0))
     width = 2**53 // n_ranges + 1
-    placed = placed.withColumn("range", F.floor(F.shiftrightunsigned("r2", 11) / width)).select("doc_id", "size", "text_crc32", "shard", "range", "r1", "r2")
+    placed = placed.withColumn("range", F.floor(F.shiftrightunsigned("r2", 11) / width)).select("doc_id", "size", "text_crc32", "copy", "shard", "range", "r1", "r2")
     before = placed.groupBy("shard", "range").agg(F.count("*").alias("n"))
     before = before.select("shard", "range", (F.sum("n").over(Window.partitionBy("shard").orderBy("range")) - F.col("n")).alias("before"))
-    inside = Window.partitionBy("shard", "range").orderBy("r2", "r1", "doc_id", "size", "text_crc32")
+    inside = Window.partitionBy("shard", "range").orderBy("r2", "r1", "doc_id", "size", "text_crc32", "copy")
     return (
         placed.withColumn("at", F.row_number().over(inside))
         .join(before, ["shard", "range"])
