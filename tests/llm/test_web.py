@@ -181,11 +181,28 @@ def test_warc_records(spark):
     found = list(warc.read_records(one + two))
     assert [r["record_id"] for r in found] == ["<1>", "<2>"] and found[0]["body"] == b"body\r\nmore" and dict(found[0]["headers"]) == {":status": "200", "etag": '"a"', "x-long": "one two"}
     assert list(warc.read_records(gzip.decompress(one) + gzip.decompress(two))) == found
-    assert list(warc.read_records(None)) == [] and list(warc.read_records(one[:40])) == []
+    assert list(warc.read_records(None)) == [] and [r["status"] for r in warc.read_records(one[:40])] == ["damaged"]
     df = warc.records(spark.createDataFrame([(one + two,), (None,)], "content binary"))
     assert sorted(r.warc_type for r in df.collect()) == ["response", "revisit"]
 
 
+def test_damaged_warc_files(spark):
+    """A flipped byte anywhere in the first member loses that record only; wrong lengths are told."""
+    made = [warc.write_record("response", {"WARC-Record-ID": f"<{i}>", "Content-Type": "application/http"}, b"HTTP/1.1 200 OK\r\n\r\n" + bytes(range(256)) * i) for i in (1, 2, 3)]
+    for at in range(len(made[0])):
+        bad = bytearray(b"".join(made))
+        bad[at] ^= 0xFF
+        found = [r for r in warc.read_records(bytes(bad)) if r["status"] == "ok" and r["record_id"] in ("<2>", "<3>")]
+        if at > 1:  # without its first two bytes it isn't known as a gzip file
+            assert [r["record_id"] for r in found] == ["<2>", "<3>"] and len(found[1]["body"]) == 768, at
+    plain = b"".join(map(gzip.decompress, made))
+    for wrong in (b"x", b"-4", b"99999999"):
+        rows = list(warc.read_records(plain.replace(b"Content-Length: 275", b"Content-Length: " + wrong)))
+        assert [r["status"] for r in rows] == ["wrong length", "ok", "ok"] and rows[0]["record_id"] == "<1>"
+    df = warc.records(spark.createDataFrame([(made[0][:50] + made[1],)], "content binary"))
+    assert sorted((r.status, r.record_id) for r in df.collect()) == [("damaged", None), ("ok", "<2>")]
+
+
 def test_canonical_url(spark):
     same = ["http://www.A.com/x/?b=2&a=1&utm_source=q#f", "https://a.com:443/x?a=1&b=2", "a.com/x/?a=1&ref=z&b=2"]
     df = spark.createDataFrame([(u,) for u in same], "u string").select(warc.canonical_url(F.col("u")).alias("c"))
@@ -210,5 +227,8 @@ def test_resolve(spark):
     got = [(r.record_id, r.refers_to, r.verdict) for r in warc.resolve(captures(spark, rows)).collect()]
     assert sorted(got) == [("r1", "f1", "resolved"), ("r2", "f1", "mismatch"), ("r3", "f1", "resolved"), ("r4", "f2", "unverified"), ("r4", "f2", "unverified"), ("r5", None, "missing"), ("r6", None, "missing"), ("r7", None, "missing")]
     heads = {r.record_id: r.headers for r in warc.resolve(captures(spark, rows)).collect()}
+    assert heads["r4"] == {}  # nothing was checked against a response that has validators
+    bare = [("f1", "response", "http://b/", "2024-01-01 00:00:00", {"a": "old", "b": "kept"}), ("r1", "revisit", "http://b/", "2024-01-02 00:00:00", {"a": "new"})]
+    assert warc.resolve(captures(spark, bare)).first().headers == {"a": "new", "b": "kept"}
     assert heads["r1"] == full | {"etag": 'W/"1"', "a": "new"} and heads["r2"] == {"etag": '"2"'}
     assert warc.resolve(captures(spark, rows[:0])).count() == 0

@@ -7,6 +7,12 @@ agree, and the headers that a 304 may change are merged into the stored ones.
 The as-of join has two levels, so that a URL with a third of all captures is not one task: inside a (URL, period) by a window, and across
 periods by each period's last full response, of which there is one row per URL and period.
 
+Reading survives damage: a gzip member that can't be read, and a record with a wrong length, give a row with a status of their own, and reading goes on
+at the next member or record.
+
+Headers are merged where validators agree, or where the stored response has none that could be checked; a revisit without validators for a response that has
+some stays unverified and keeps its own headers.
+
 Defined results: a record without a URL or date resolves to nothing; of responses with equal date the larger record id is the later one;
 a response of the same second is not earlier; repeated rows get equal results; an empty table gives an empty result; extra columns are ignored.
 """
@@ -15,6 +21,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +35,7 @@ PERIOD_SECONDS = 86_400
 NOT_MERGED = ["connection", "content-encoding", "content-length", "content-range", "keep-alive", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade"]
 #: Query parameters that don't change the page.
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid|sessionid|phpsessid)(=|$)"
-RECORD = "record_id string, warc_type string, url string, date string, headers map<string,string>, body binary"
+RECORD = "record_id string, warc_type string, url string, date string, headers map<string,string>, body binary, status string"
 
 
 def write_record(kind: str, fields: dict[str, str], http: bytes = b"") -> bytes:
@@ -49,32 +56,80 @@ def _header_lines(f: io.BufferedIOBase) -> dict[str, str]:
     return found
 
 
+MEMBER = b"\x1f\x8b\x08"
+CHUNK = 1 << 16
+
+
+def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
+    """Content of the gzip member at ``at`` and the place after it; None if it can't be read to its end."""
+    reader, out = zlib.decompressobj(31), []
+    while at < len(data):
+        piece = data[at : at + CHUNK]
+        try:
+            out.append(reader.decompress(piece))
+        except zlib.error:
+            return None
+        at += len(piece) - len(reader.unused_data)
+        if reader.eof:
+            return b"".join(out), at
+    return None
+
+
+def _members(data: bytes) -> Iterator[tuple[bytes | None, int]]:
+    """(content, place) of all members; (None, place) for a stretch that can't be read."""
+    at, lost = 0, False
+    while 0 <= at < len(data):
+        found = _member(data, at) if data[at : at + 3] == MEMBER else None
+        if found and (not lost or found[0][:5] == b"WARC/"):  # after damage, only what looks like a record
+            yield found[0], at
+            at, lost = found[1], False
+            continue
+        if not lost:
+            yield None, at
+        lost = True
+        at = data.find(MEMBER, at + 1)
+
+
+def _records_in(block: bytes) -> Iterator[dict]:
+    at = 0
+    while 0 <= at < len(block):
+        if not block.startswith(b"WARC/", at):
+            at = block.find(b"\n", at) + 1 or len(block)
+            continue
+        f = io.BytesIO(block)
+        f.seek(at)
+        f.readline()
+        own = _header_lines(f)
+        row = {"record_id": own.get("warc-record-id"), "warc_type": own.get("warc-type"), "url": own.get("warc-target-uri"), "date": own.get("warc-date"), "headers": [], "body": None, "status": "ok"}
+        length = own.get("content-length", "0")
+        n = int(length) if length.isascii() and length.isdigit() else -1
+        body = block[f.tell() : f.tell() + max(n, 0)]
+        if n < 0 or len(body) < n:
+            yield row | {"status": "wrong length"}
+            at = block.find(b"\nWARC/", f.tell()) + 1 or len(block)
+            continue
+        at = f.tell() + n
+        if "http" in own.get("content-type", ""):
+            g = io.BytesIO(body)
+            http = {":status": (g.readline().split(b" ") + [b""])[1].decode("ascii", "replace").strip(), **_header_lines(g)}
+            row["headers"], body = list(http.items()), g.read()
+        yield row | {"body": body}
+
+
 def read_records(data: bytes | None) -> Iterator[dict]:
-    """Records of a WARC file, gzipped or plain; a cut-off record at the end is left out."""
-    f = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data or b"")) if (data or b"")[:2] == b"\x1f\x8b" else io.BytesIO(data or b""))
-    try:
-        while line := f.readline():
-            if not line.startswith(b"WARC/"):
-                continue
-            own = _header_lines(f)
-            n = int(own.get("content-length", 0))
-            block = f.read(n)
-            if len(block) < n:
-                return
-            http, body = {}, block
-            if "http" in own.get("content-type", ""):
-                g = io.BufferedReader(io.BytesIO(block))
-                http = {":status": (g.readline().split(b" ") + [b""])[1].decode("ascii", "replace").strip(), **_header_lines(g)}
-                body = g.read()
-            yield {"record_id": own.get("warc-record-id"), "warc_type": own.get("warc-type"), "url": own.get("warc-target-uri"), "date": own.get("warc-date"), "headers": list(http.items()), "body": body}
-    except (EOFError, gzip.BadGzipFile):
-        return
+    """Records of a WARC file, gzipped or plain. ``status`` is ok, wrong length (the fields are there, the body isn't) or damaged (a member that can't be read)."""
+    data = data or b""
+    for block, _ in _members(data) if data[:2] == MEMBER[:2] else [(data, 0)]:
+        if block is None:
+            yield {"record_id": None, "warc_type": None, "url": None, "date": None, "headers": [], "body": None, "status": "damaged"}
+        else:
+            yield from _records_in(block)
 
 
 def records(files: DataFrame, content: str = "content") -> DataFrame:
     """Records of WARC files in a binary column (as of Spark's binaryFile source)."""
     ship(files.sparkSession)
-    schema = pa.schema([("record_id", pa.string()), ("warc_type", pa.string()), ("url", pa.string()), ("date", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("body", pa.binary())])
+    schema = pa.schema([("record_id", pa.string()), ("warc_type", pa.string()), ("url", pa.string()), ("date", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("body", pa.binary()), ("status", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,7 +137,7 @@ def records(files: DataFrame, content: str = "content") -> DataFrame:
                 held, size = [], 0
                 for r in read_records(data.as_py()):
                     held.append(r)
-                    size += len(r["body"])
+                    size += len(r["body"] or b"")
                     if size > 4_000_000:
                         yield pa.RecordBatch.from_pylist(held, schema)
                         held, size = [], 0
@@ -109,7 +164,7 @@ def resolve(captures: DataFrame, period_seconds: int = PERIOD_SECONDS) -> DataFr
     """Captures (record_id, warc_type, url, date timestamp, headers map of lower-case names) -> one row per revisit.
 
     (record_id, canonical_url, date, refers_to, verdict, headers): verdict is resolved, unverified (the revisit has no validators), mismatch or
-    missing (no earlier full response); headers are merged only where the verdict allows it, else the revisit's own.
+    missing (no earlier full response); headers are merged where the verdict is resolved, or nothing could be checked, else the revisit's own.
     """
     own = captures.select("record_id", F.lower("warc_type").alias("kind"), canonical_url(F.col("url")).alias("canonical_url"), F.col("date").cast("timestamp").alias("date"), "headers")
     own = own.filter(F.col("kind").isin("response", "revisit"))
@@ -137,7 +192,8 @@ def resolve(captures: DataFrame, period_seconds: int = PERIOD_SECONDS) -> DataFr
     out = out.withColumn("verdict", verdict)
     fresh = F.map_filter("headers", lambda k, _: ~k.isin(*NOT_MERGED, ":status"))
     kept = F.map_filter(F.col("stored.headers"), lambda k, _: ~F.map_contains_key(fresh, k))
-    merged = F.when(F.col("verdict").isin("resolved", "unverified"), F.map_concat(kept, fresh)).otherwise(F.col("headers"))
+    unchecked = (F.col("verdict") == "unverified") & F.col("stored.headers")["etag"].isNull() & F.col("stored.headers")["last-modified"].isNull()
+    merged = F.when((F.col("verdict") == "resolved") | unchecked, F.map_concat(kept, fresh)).otherwise(F.col("headers"))
     return out.select("record_id", "canonical_url", "date", F.col("stored.record_id").alias("refers_to"), "verdict", merged.alias("headers"))
 
 
@@ -183,6 +239,6 @@ j AS (SELECT r.*, f.id AS fid, f.tag AS ftag, f.changed AS fchanged, f.len AS fl
 v AS (SELECT *, CASE WHEN fid IS NULL THEN 'missing' WHEN tag IS NULL AND changed IS NULL THEN 'unverified'
   WHEN CASE WHEN tag IS NOT NULL THEN replace(tag, 'W/', '') = replace(ftag, 'W/', '') ELSE changed = fchanged END THEN 'resolved' ELSE 'mismatch' END AS verdict FROM j WHERE rn = 1)
 SELECT id AS record_id, cu AS canonical_url, CAST(1700000000 + t AS BIGINT) AS date_s, fid AS refers_to, verdict,
- CASE WHEN verdict IN ('resolved', 'unverified') THEN concat_ws(chr(10), ':status: 200', coalesce(cc, 'cache-control: max-age=60'), 'content-length: ' || CAST(flen AS VARCHAR), 'content-type: text/html', 'etag: ' || coalesce(tag, ftag), 'last-modified: ' || coalesce(changed, fchanged), CASE WHEN late THEN 'x-age: ' || CAST(n AS VARCHAR) END)
+ CASE WHEN verdict = 'resolved' THEN concat_ws(chr(10), ':status: 200', coalesce(cc, 'cache-control: max-age=60'), 'content-length: ' || CAST(flen AS VARCHAR), 'content-type: text/html', 'etag: ' || coalesce(tag, ftag), 'last-modified: ' || coalesce(changed, fchanged), CASE WHEN late THEN 'x-age: ' || CAST(n AS VARCHAR) END)
   ELSE concat_ws(chr(10), ':status: 304', cc, CASE WHEN late THEN 'connection: close' ELSE 'content-length: 0' END, 'etag: ' || tag, 'last-modified: ' || changed, CASE WHEN late THEN 'x-age: ' || CAST(n AS VARCHAR) END) END AS headers FROM v
 """
