@@ -274,15 +274,40 @@ def test_co_training(spark, odd, empty):
     assert cotraining.judge(odd, odd_labels).count() == len(ODD)
 
 
-def test_co_training_views_teach():
-    """A view that is blind in the labels' reach learns from the other's pseudo-labels."""
+def test_co_training_views_teach(monkeypatch):
+    """A view without a clue in the labels learns from the other's pseudo-labels."""
     rng = np.random.default_rng(1)
     n = 1200
     y = (rng.random(n) < 0.6).astype(int)
     text = np.hstack([y[:, None] + rng.normal(0, 0.2, (n, 1)), np.ones((n, 1))]).astype(np.float32)
-    page = np.hstack([y[:, None] + rng.normal(0, 0.3, (n, 1)), np.ones((n, 1))]).astype(np.float32)
-    seen = np.where(np.arange(n) < 200, y, -1)
-    model = cotraining.train(text, page, seen, np.arange(n) % 3 == 0)
-    assert model["handed"] > 100
+    seen = np.arange(n) < 200
+    # the second column of the page view says all, but is missing in labelled rows
+    page = np.column_stack([y + rng.normal(0, 0.6, n), np.where(seen, 0.5, y)]).astype(np.float32)
+    given, rest = (text[seen], page[seen], y[seen], (np.arange(n) % 3 == 0)[seen]), (text[~seen], page[~seen], np.arange((~seen).sum()) % 5)
+    model = cotraining.train(*given, lambda w, c: cotraining.handed_on(w, c, *rest))
+    alone = cotraining.train(*given, lambda w, c: {})
+    assert model["handed"] > 100 and alone["handed"] == 0
+    right = lambda m: (((cotraining.raw(rest[1], m["weights"][1])) > 0) == y[~seen]).mean()
+    assert right(model) > right(alone) + 0.03
     score = cotraining.apply(model, text, page)[2]
     assert ((score > 0.5) == y)[200:].mean() > 0.97
+
+
+def test_every_unlabelled_document_takes_part(spark):
+    """The exchange counts all documents beyond the labelled sample, and sums don't depend on partitions."""
+    rows, labels = labelled(600)
+    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    rng = np.random.default_rng(3)
+    model = [rng.normal(0, 0.1, d + 1).astype(np.float32) for d in (cotraining.TEXT_DIMENSIONS, cotraining.PAGE_DIMENSIONS)], [np.array([0.0, 9.0])] * 2  # sure of everything
+    one, two = (cotraining.exchanged(docs.repartition(p), *model) for p in (1, 7))
+    assert sum(n for (view, _, _), (n, _) in one.items() if view == 0) == 600 and one.keys() == two.keys()
+    assert all(one[k][0] == two[k][0] and (one[k][1] == two[k][1]).all() for k in one)
+
+
+def test_held_out_accuracy(spark):
+    """Fitted on half of the labels of the test tables and right on the other half."""
+    base = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    half = labels.filter("doc_id % 2 = 0")
+    got = cotraining.judge(docs, half).join(labels.filter("doc_id % 2 = 1 and quality is not null"), "doc_id").select("kept", "quality").collect()
+    assert sum(r.kept == (r.quality == 1) for r in got) >= 0.97 * len(got)
