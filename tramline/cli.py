@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tramline.functions.storage import stored
 from tramline.operators import combine, exports, reach
@@ -24,13 +25,9 @@ def merge(spark: SparkSession, base: str) -> None:
 
 def split(spark: SparkSession, base: str, cell: list[int] | None, rides_only: bool) -> None:
     """DIR/combined -> DIR/cells, a partition for each 1-degree cell, or one cell alone."""
-    from pyspark.sql import functions as F
-
     g = combine.read_graph(spark, f"{base}/combined")
     preset = {"buffer_km": 6.0, "walk_kmh": None, "inclusive": True} if rides_only else {}
-    found = reach.reachable_by_cell(g.stops, g.journeys, **preset)
-    if cell:
-        found = found.filter((F.col("lat_floor") == cell[0]) & (F.col("lon_floor") == cell[1]))
+    found = reach.reachable_by_cell(g.stops, g.journeys, cell=tuple(cell) if cell else None, **preset)
     journeys = stored(g.journeys.withColumn("journey_id", F.monotonically_increasing_id()))
     combine.write_graph(FeedGraph(*reach.cell_subgraphs(found, g.stops, g.lines, journeys)), f"{base}/cells", by=reach.CELL)
 
@@ -47,9 +44,29 @@ def geojson(spark: SparkSession, base: str) -> None:
     exports.write_geojson(exports.line_features(exports.placed_edges(*g, *reach.CELL)), f"{base}/geojson/lines", *reach.CELL)
 
 
+def populate(spark: SparkSession, base: str) -> None:
+    """All steps from DIR/feeds to DIR/cells."""
+    build(spark, base)
+    merge(spark, base)
+    split(spark, base, None, False)
+
+
+def components(spark: SparkSession, base: str) -> None:
+    """DIR/graphs and DIR/components.json -> DIR/exports/component_points and /component_lines (CSV with WKT)."""
+    g, parts = combine.read_graph(spark, f"{base}/graphs"), gtfs.read_components(spark, f"{base}/components.json")
+    for name, df in (("points", exports.with_component(exports.export_points(*g), parts)), ("lines", exports.component_agency_segments(*g, parts))):
+        df.write.mode("overwrite").option("header", True).csv(f"{base}/exports/component_{name}")
+
+
+def images(spark: SparkSession, base: str) -> None:
+    """DIR/graphs -> DIR/exports/images: coloured segments of each feed, drawn as SVG."""
+    segments = exports.image_segments(*combine.read_graph(spark, f"{base}/graphs"), "feed_id")
+    exports.drawings(segments, "feed_id").select("feed_id", F.col("svg").alias("value")).write.mode("overwrite").partitionBy("feed_id").text(f"{base}/exports/images")
+
+
 def main(args: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="tramline", description=__doc__)
-    p.add_argument("command", choices=["build", "combine", "split", "points", "geojson"])
+    p.add_argument("command", choices=["build", "combine", "split", "points", "geojson", "populate", "components", "images"])
     p.add_argument("--data-dir", required=True)
     p.add_argument("--cell", nargs=2, type=int, metavar=("LAT", "LON"))
     p.add_argument("--rides-only", action="store_true", help="no walking, from a buffered cell, budget included")
@@ -58,7 +75,7 @@ def main(args: list[str] | None = None) -> None:
     if a.command == "split":
         split(spark, a.data_dir, a.cell, a.rides_only)
     else:
-        {"build": build, "combine": merge, "points": points, "geojson": geojson}[a.command](spark, a.data_dir)
+        {"build": build, "combine": merge, "points": points, "geojson": geojson, "populate": populate, "components": components, "images": images}[a.command](spark, a.data_dir)
 
 
 if __name__ == "__main__":

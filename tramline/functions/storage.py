@@ -6,6 +6,7 @@ import io
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remembered(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``; made and written there first if it isn't complete."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 #: Rows that Arrow hands to Python at a time, at most: whole texts and pages can be long.
 ARROW_ROWS = 1000
 

@@ -129,3 +129,11 @@ def calendar_json(joined: DataFrame) -> DataFrame:
     """(feed_id, service_id, dates): each service's sorted ISO dates as a JSON array, for export next to the Parquet table."""
     iso = F.sort_array(F.collect_set(F.date_format("date", "yyyy-MM-dd")))
     return joined.groupBy(*KEY).agg(F.to_json(iso).alias("dates"))
+
+
+def standardized_json(joined: DataFrame, length: int = 6) -> DataFrame:
+    """(feed_id, start_common, end_common, services): the standard week with each feed's service ids a day, as a JSON array of arrays."""
+    week = most_covered_period(date_range(joined, "feed_id"), length).select(F.col("start").alias("start_common"), F.col("end").alias("end_common"))
+    days = standardize_calendars(joined, length).groupBy("feed_id").agg(F.sort_array(F.collect_list(F.struct("day_idx", "service_ids"))).alias("days"))
+    services = F.to_json(F.transform("days", lambda x: x["service_ids"]))
+    return days.crossJoin(F.broadcast(week)).select("feed_id", "start_common", "end_common", services.alias("services"))  # one row

@@ -86,3 +86,15 @@ def image_segments(stops: DataFrame, lines: DataFrame, journeys: DataFrame, *key
     """Segments with a colour index 0 to 255 by the line's name: what a drawing needs."""
     edges = placed_edges(stops, lines, journeys, *keys)
     return edges.select(*keys, "a_lon", "a_lat", "b_lon", "b_lat", "line_id", color_index(F.col("line_name"), F.col("line_id")).alias("color"))
+
+
+def drawings(segments: DataFrame, *keys: str) -> DataFrame:
+    """(keys..., svg): a drawing of all segments of a feed or cell, its colours on a wheel of 256 hues; north is up. A drawing holds one feed whole."""
+    line = F.concat(
+        F.lit('<line x1="'), F.round("a_lon", 5).cast("string"), F.lit('" y1="'), F.round(-F.col("a_lat"), 5).cast("string"), F.lit('" x2="'), F.round("b_lon", 5).cast("string"),
+        F.lit('" y2="'), F.round(-F.col("b_lat"), 5).cast("string"), F.lit('" stroke="hsl('), F.round(F.col("color") * 360 / 256).cast("int").cast("string"), F.lit(',80%,45%)"/>'),
+    )
+    box = [F.round(f(F.least(a, b) if f is F.min else F.greatest(a, b)), 5) for f in (F.min, F.max) for a, b in (("a_lon", "b_lon"), (-F.col("a_lat"), -F.col("b_lat")))]
+    whole = segments.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list(line)), "").alias("lines"), *[c.alias(n) for c, n in zip(box, ("x0", "y0", "x1", "y1"), strict=True)])
+    frame = F.concat_ws(" ", "x0", "y0", F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    return whole.select(*keys, F.concat(F.lit('<svg xmlns="http://www.w3.org/2000/svg" stroke-width="0.1%" viewBox="'), frame, F.lit('">'), F.col("lines"), F.lit("</svg>")).alias("svg"))

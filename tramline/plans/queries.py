@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import uuid
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramline.functions import dates, geo, routes
-from tramline.functions.storage import stored
+from tramline.functions.storage import shared_folder, stored
 from tramline.operators import calendar, combine, exports, feed_graph, point_reduce, reach, spatial, stops
 from tramline.operators.components import components
 from tramline.operators.feed_graph import FeedGraph
 from tramline.plans.views import frame, tables, view, with_views
+from tramline.sources import graphs, gtfs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -609,3 +614,162 @@ def e17_journey_agency(spark: SparkSession, d: str) -> DataFrame:
     visits = feed_graph.timed_stops(t["stop_times"]).join(valid, ["feed_id", "stop_id"], "left_semi").groupBy("feed_id", "trip_id").agg(F.count("*").alias("n")).filter("n >= 2")
     trips = t["trips"].join(visits, ["feed_id", "trip_id"]).join(days, ["feed_id", "service_id"], "left_semi").join(line, ["feed_id", "route_id"])
     return trips.select("feed_id", "trip_id", F.col("agency_id").alias("agency"), "n")
+
+
+# --- sources and sinks
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder in the shared place."""
+    return f"{shared_folder(spark)}/tramline-{uuid.uuid4().hex}"
+
+
+def _archives(spark: SparkSession, d: str) -> DataFrame:
+    """(path, content): an archive for each of the three feeds, in different encodings and folders, and two that can't be read."""
+
+    def file(name: str, header: str, *cols: str) -> DataFrame:
+        line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+        rows = view(spark, d, f"g_{name}").withColumn("stop_name", F.concat(F.lit("é "), "stop_name")) if name == "stops" else view(spark, d, f"g_{name}")
+        lines = rows.groupBy("feed_id").agg(F.sort_array(F.collect_list(F.struct("row_idx", line.alias("line")))).alias("x"))  # an archive holds a feed whole
+        return lines.select("feed_id", F.concat(F.lit(header + "\n"), F.array_join(F.transform("x", lambda v: v["line"]), "\n")).alias(name))
+
+    both = file("stops", "stop_id, stop_name ,stop_lat,stop_lon,parent_station", "stop_id", "stop_name", "stop_lat", "stop_lon", "parent_station").join(
+        file("routes", "route_id,route_type", "route_id", "route_type"), "feed_id"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for feed, stops_, routes_ in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                data = io.BytesIO()
+                with zipfile.ZipFile(data, "w") as z:
+                    z.writestr("inner/stops.txt" if feed == "f2" else "stops.txt", stops_.encode("latin-1" if feed == "f1" else "utf-8-sig"))
+                    z.writestr("routes.txt", routes_)
+                yield pa.RecordBatch.from_arrays([pa.array([f"store/{feed}.zip"]), pa.array([data.getvalue()], pa.binary())], names=["path", "content"])
+
+    twice = io.BytesIO()
+    with zipfile.ZipFile(twice, "w") as z:
+        z.writestr("a/stops.txt", "stop_id\n")
+        z.writestr("b/stops.txt", "stop_id\n")
+    odd = spark.createDataFrame([("store/bad.zip", b"no archive"), ("store/twice.zip", twice.getvalue())], "path string, content binary")
+    return both.mapInArrow(run, "path string, content binary").unionByName(odd)
+
+
+@query("SELECT feed_id, row_number() OVER (PARTITION BY feed_id ORDER BY row_idx) - 1 AS row_idx, stop_id, concat('é ', stop_name) AS name, stop_lat AS lat, stop_lon AS lon, parent_station AS parent FROM g_stops")
+def a05_feed_stops(spark: SparkSession, d: str) -> DataFrame:
+    """Archives in different encodings and folders, read back."""
+    got = gtfs.table(_archives(spark, d), "stops.txt")
+    return got.select("feed_id", "row_idx", "stop_id", F.col("stop_name").alias("name"), routes.safe_double(F.col("stop_lat")).alias("lat"), routes.safe_double(F.col("stop_lon")).alias("lon"), F.col("parent_station").alias("parent"))
+
+
+@query("SELECT feed_id, count(*) AS n, count(route_type) AS n_types FROM g_routes GROUP BY feed_id")
+def a07_feed_routes(spark: SparkSession, d: str) -> DataFrame:
+    return gtfs.table(_archives(spark, d), "routes.txt").groupBy("feed_id").agg(F.count("*").alias("n"), F.count("route_type").alias("n_types"))
+
+
+@query("SELECT DISTINCT feed_id, 'success' AS status, NULL AS reason FROM g_stops UNION ALL VALUES ('bad', 'failure', 'bad zip file'), ('twice', 'failure', 'more than one stops.txt')")
+def a04_feed_status(spark: SparkSession, d: str) -> DataFrame:
+    return gtfs.feed_status(_archives(spark, d))
+
+
+@query("SELECT * FROM (VALUES ('bad', 'bad zip file'), ('twice', 'more than one stops.txt')) x(feed_id, reason)")
+def a14_all_failures(spark: SparkSession, d: str) -> DataFrame:
+    return gtfs.all_failures(gtfs.feed_status(_archives(spark, d)))
+
+
+@query("SELECT n_name AS feed_id, CASE n_nationkey % 5 WHEN 0 THEN 'success' WHEN 4 THEN 'success' ELSE 'failure' END AS status, CASE n_nationkey % 5 WHEN 1 THEN 'timeout' WHEN 2 THEN 'connection error' WHEN 3 THEN concat('status code 404; content: b', chr(39), 'gone', chr(39)) END AS reason, CASE n_nationkey % 5 WHEN 0 THEN 'fetched' WHEN 4 THEN 'cached' END AS content FROM nation")
+def a04_fetch(spark: SparkSession, d: str) -> DataFrame:
+    """Feeds from a cache and from a fetcher that fails in several ways."""
+    nations = frame(spark, d, "nation")
+    kind = {r.n_name: r.n_nationkey % 5 for r in nations.select("n_name", "n_nationkey").collect()}  # 25 rows
+    BadStatus = gtfs.BadStatus
+
+    def get(feed: str) -> bytes:
+        if kind[feed]:
+            raise {1: TimeoutError(), 2: ConnectionError(), 3: BadStatus(404, b"gone")}[kind[feed]]
+        return b"fetched"
+
+    cached = nations.filter("n_nationkey % 5 = 4").select(F.concat(F.lit("store/"), "n_name", F.lit(".zip")).alias("path"), F.lit(b"cached").alias("content"))
+    out = gtfs.fetch(nations.select(F.col("n_name").alias("feed_id")), get, cached)
+    return out.select("feed_id", "status", "reason", F.col("content").cast("string").alias("content"))
+
+
+@query("SELECT concat('feeds/', n_name, '.dmfr.json') AS path FROM nation WHERE n_nationkey % 3 <> 0")
+def a01_gtfs_list(spark: SparkSession, d: str) -> DataFrame:
+    """The index is listed once a version: the second call would fail if it listed again."""
+    base, version = _folder(spark), gtfs.FeedVersion("atlas", "abc123", "a/b")
+    name = F.concat(F.when(F.col("n_nationkey") % 3 == 0, "docs/").otherwise("feeds/"), "n_name", F.lit(".dmfr.json"))
+    gtfs.gtfs_list(spark, version, lambda _: frame(spark, d, "nation").select(name.alias("path")), base)
+    return gtfs.gtfs_list(spark, version, lambda _: 1 / 0, base)
+
+
+@query("SELECT r_name AS spec, n_name AS id FROM nation JOIN region ON r_regionkey = n_regionkey")
+def a03_all_gtfs_info(spark: SparkSession, d: str) -> DataFrame:
+    """Specification files, one a region, and the feeds that they name."""
+    path = _folder(spark)
+    named = frame(spark, d, "nation").join(frame(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    specs = named.groupBy("r_name").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("n_name").alias("id"))).alias("feeds"))).alias("value"))
+    specs.write.partitionBy("r_name").text(path)
+    return gtfs.read_specs(spark, path).select(F.regexp_replace(F.url_decode(F.regexp_extract("spec", "r_name=([^/]*)/", 1)), "_", " ").alias("spec"), F.col("feed.id").alias("id"))
+
+
+@query("SELECT CAST(n_regionkey AS INT) AS component, n_name AS feed_id FROM nation")
+def a11_components(spark: SparkSession, d: str) -> DataFrame:
+    path = _folder(spark)
+    parts = frame(spark, d, "nation").groupBy("n_regionkey").agg(F.collect_list("n_name").alias("feeds"))
+    whole = parts.agg(F.to_json(F.struct(F.transform(F.sort_array(F.collect_list(F.struct("n_regionkey", "feeds"))), lambda x: x["feeds"]).alias("components"))).alias("value"))
+    whole.coalesce(1).write.text(path)
+    return gtfs.read_components(spark, path)
+
+
+@query(f"WITH {FEEDS} SELECT feed_id, CAST(l_orderkey // 5 % 500 AS INT) AS line_id, string_agg(CAST(l_suppkey % 25 AS VARCHAR), ',' ORDER BY l_linenumber, l_suppkey % 25, l_linenumber * 7) AS stops FROM (SELECT *, concat('f', CAST(l_orderkey % 5 AS VARCHAR)) AS feed_id FROM lineitem) x GROUP BY feed_id, l_orderkey")
+def a08_graph_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Journeys of graphs that went through messages."""
+    g = feeds_graph(spark, d)
+    g = graphs.parsed(graphs.graph_messages(g._replace(stops=g.stops.withColumn("minutes_used", F.lit(None).cast("int"))), "feed_id"))
+    return g.journeys.select("feed_id", "line_id", text("stops").alias("stops"))
+
+
+@query(f"WITH {FEEDS} SELECT line_id, stops, count(*) AS n FROM rj GROUP BY line_id, stops")
+def a09_chunked_graph(spark: SparkSession, d: str) -> DataFrame:
+    """The graph of all feeds, written in chunks and read again."""
+    path = _folder(spark)
+    combine.write_graph(combine.combine(feeds_graph(spark, d)), path, max_rows=1000)
+    return combine.read_graph(spark, path).journeys.groupBy(F.col("line_id").cast("long").alias("line_id"), text("stops").alias("stops")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES (1, TRUE)) x(files, at_most)")
+def g12_chunk_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """No file of a chunked graph has more rows than asked for."""
+    path = _folder(spark)
+    combine.write_graph(combine.combine(feeds_graph(spark, d)), path, max_rows=100)
+    sizes = combine.read_graph(spark, path).stops.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"))
+    return sizes.agg(F.lit(1).alias("files"), (F.max("n") <= 100).alias("at_most"))
+
+
+@query(f"{WALKED} SELECT * FROM reach WHERE lat_floor = 47 AND lon_floor = -122")
+def h08_one_cell(spark: SparkSession, d: str) -> DataFrame:
+    """A search from one cell's seeds only."""
+    g = whole(spark, d)
+    return reach.reachable_by_cell(g.stops, g.journeys, cell=(47, -122)).withColumn("stop_id", F.col("stop_id").cast("long"))
+
+
+@query(f"{JOURNEYS} SELECT lat_floor, lon_floor, count(*) AS journeys, count(DISTINCT line_id) AS lines, CAST(sum(len(string_split(split_part(journey_id, '|', 2), ','))) AS BIGINT) AS visits FROM cj GROUP BY lat_floor, lon_floor")
+def b03_cell_subgraphs(spark: SparkSession, d: str) -> DataFrame:
+    """Cells written as partitions and read again."""
+    g, path = whole(spark, d), _folder(spark)
+    combine.write_graph(FeedGraph(*reach.cell_subgraphs(_walked(g), *g)), path, by=reach.CELL)
+    back = combine.read_graph(spark, path).journeys
+    return back.groupBy(*reach.CELL).agg(F.count("*").alias("journeys"), F.countDistinct("line_id").alias("lines"), F.sum(F.size("stops")).cast("long").alias("visits"))
+
+
+@query(f"""WITH {SEGMENTS}, spans AS (SELECT g.*, b.start AS c0, b.start + 6 AS c1 FROM g_feed_spans g, q_best b), {SHIFTED},
+ sv AS (SELECT mp.feed_id, day_idx, concat('[', coalesce(string_agg(DISTINCT concat('"', service_id, '"'), ',' ORDER BY concat('"', service_id, '"')) FILTER (WHERE service_id IS NOT NULL), ''), ']') AS ids FROM mp LEFT JOIN g_feed_dates f ON f.feed_id = mp.feed_id AND f.date = mp.date GROUP BY mp.feed_id, day_idx)
+ SELECT feed_id, (SELECT start FROM q_best) AS start_common, (SELECT start + 6 FROM q_best) AS end_common, concat('[', string_agg(ids, ',' ORDER BY day_idx), ']') AS services FROM sv GROUP BY feed_id""")
+def b05_standard_week_json(spark: SparkSession, d: str) -> DataFrame:
+    return calendar.standardized_json(view(spark, d, "g_feed_dates"))
+
+
+@query(f"WITH {FEEDS}, {EDGES_F} SELECT feed_id, count(*) AS n FROM ef GROUP BY feed_id")
+def b09_drawings(spark: SparkSession, d: str) -> DataFrame:
+    drawn = exports.drawings(exports.image_segments(*feeds_graph(spark, d), "feed_id"), "feed_id")
+    return drawn.select("feed_id", F.regexp_count("svg", F.lit("<line ")).cast("long").alias("n"))

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,13 +67,18 @@ def read_graph_files(spark: SparkSession, path: str, skip: str = r"^graphs_all")
     """The graphs of all .pb files under the path; feed_id is the file's stem."""
     ship(spark)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb").load(path)
-    found = found.withColumn("feed_id", F.regexp_extract("path", r"([^/]*)\.pb$", 1)).filter(~F.col("feed_id").rlike(skip)).select("feed_id", "content")
+    return parsed(found.withColumn("feed_id", F.regexp_extract("path", r"([^/]*)\.pb$", 1)).filter(~F.col("feed_id").rlike(skip)).select("feed_id", "content"))
+
+
+def parsed(messages: DataFrame) -> FeedGraph:
+    """The graphs in messages (feed_id, content)."""
+    ship(messages.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame([{"feed_id": f, **parse(c)} for f, c in zip(batch["feed_id"], batch["content"], strict=True)], columns=["feed_id", "stops", "lines", "journeys"])
 
-    whole = found.mapInPandas(run, f"feed_id string, stops array<{STOP}>, lines array<{LINE}>, journeys array<{JOURNEY}>")
+    whole = messages.mapInPandas(run, f"feed_id string, stops array<{STOP}>, lines array<{LINE}>, journeys array<{JOURNEY}>")
     part = lambda c: whole.select("feed_id", F.explode(c).alias("x")).select("feed_id", "x.*")
     return FeedGraph(part("stops"), part("lines"), part("journeys"))
 
@@ -84,11 +90,15 @@ def graph_messages(graph: FeedGraph, *keys: str) -> DataFrame:
     stops, lines, journeys = (df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*cols[n]))).alias(n)) for n, df in graph._asdict().items())
     whole = stops.join(lines, list(keys), "left").join(journeys, list(keys), "left")
 
-    @F.udf("binary")
-    def made(stops, lines, journeys):  # noqa: ANN001, ANN202
-        return serialise(*([r.asDict() for r in x or []] for x in (stops, lines, journeys)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(keys)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                content = serialise(*(batch.column(n + k)[at].as_py() or [] for k in range(3)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(at, 1) for k in range(n)), pa.array([content], pa.binary())], names=[*keys, "content"])
 
-    return whole.select(*keys, made("stops", "lines", "journeys").alias("content"))
+    whole = whole.select(*keys, "stops", "lines", "journeys")
+    return whole.mapInArrow(run, ", ".join([*(f"{k} {whole.schema[k].dataType.simpleString()}" for k in keys), "content binary"]))
 
 
 def read_json_graph(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -6,14 +6,15 @@ import csv
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.storage import ship
+from tramline.functions.storage import remembered, ship
 
 #: The files and columns that the engine reads.
 COLUMNS = {
@@ -140,6 +141,58 @@ def read_feeds(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name.removesuffix(".txt"): table(archives, name) for name in COLUMNS}
 
 
+class BadStatus(Exception):
+    """An answer other than 200, with its code and content."""
+
+    def __init__(self, code: int, content: bytes = b"") -> None:
+        super().__init__(f"status code {code}; content: {content!r}")
+
+
+#: What can go wrong while fetching, and the reason that is recorded.
+FETCH_REASONS = [(TimeoutError, "timeout"), (ConnectionError, "connection error"), ((zlib.error, UnicodeDecodeError), "content decoding error"), (EOFError, "chunked encoding error")]
+
+
+def fetch(feeds: DataFrame, get: Callable[[str], bytes], cached: DataFrame | None = None) -> DataFrame:
+    """(feed_id, path, content, status, reason) of feeds (feed_id): from the cached archives (path, content), or by ``get`` on the executors.
+
+    ``get`` gives the archive of a feed, or raises one of the known errors, which become failures; other errors end the job.
+    """
+    ship(feeds.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["feed_id", "path", "content", "status", "reason"]
+        for batch in batches:
+            for feed in batch.column(0).to_pylist():
+                content, reason = None, None
+                try:
+                    content = get(feed)
+                except BadStatus as e:
+                    reason = str(e)
+                except tuple(k for kinds, _ in FETCH_REASONS for k in (kinds if isinstance(kinds, tuple) else (kinds,))) as e:
+                    reason = next(text for kinds, text in FETCH_REASONS if isinstance(e, kinds))
+                row = feed, f"{feed}.zip", content, "failure" if reason else "success", reason
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary() if n == "content" else pa.string()) for n, v in zip(names, row, strict=True)], names=names)
+
+    schema = "feed_id string, path string, content binary, status string, reason string"
+    wanted = feeds.select("feed_id")
+    if cached is None:
+        return wanted.mapInArrow(run, schema)
+    known = cached.select(F.regexp_extract("path", r"([^/]*?)(?:\.zip)?$", 1).alias("feed_id"), "path", "content")
+    kept = wanted.join(known, "feed_id").select("feed_id", "path", "content", F.lit("success").alias("status"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(wanted.join(known.select("feed_id"), "feed_id", "left_anti").mapInArrow(run, schema))
+
+
+def api_key(path: str) -> str:
+    """The key for a fetcher, from a text file of the user's."""
+    with open(path) as f:
+        return f.read().strip()
+
+
+def gtfs_list(spark: SparkSession, version: FeedVersion, listing: Callable[[FeedVersion], DataFrame], base: str) -> DataFrame:
+    """Paths of feed specifications of a version of the index; kept under ``base``, by name and hash, so another hash is listed anew."""
+    return remembered(spark, f"{base}/{version.name}/feed_paths/{version.git_hash}", lambda: feed_paths(listing(version)).coalesce(1))
+
+
 def feed_paths(listing: DataFrame) -> DataFrame:
     """Paths of feed specifications in a listing of the index (path)."""
     return listing.filter(F.col("path").startswith("feeds/")).select("path")
