@@ -1,13 +1,15 @@
 """URL filter: longest-match rules, and logistic regression on hashed character n-grams of host and path for all other URLs.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and is judged on those; hosts are
-lower-cased in A-Z only; repeated rows get equal results; an empty table gives an empty result; extra columns are ignored.
+lower-cased in A-Z only; URLs of any length are read whole; of rules of one length that both fit (which needs equal text) the later one in the given order holds;
+equal scores get equal verdicts, and a score at the threshold blocks; repeated rows get equal results; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -18,39 +20,19 @@ from tramline.llm.common import ascii_lower, ship
 
 DIMENSIONS = 1 << 15
 LENGTHS = (3, 4, 5)
-#: At most so many labelled URLs are used for fitting, in the order of the URL.
+#: At most so many labelled URLs are used for fitting, those with the smallest hash.
 MAX_LABELLED = 20_000
 
 DIGITS = str.maketrans("123456789", "000000000")
 
-#: Parts of the small labelled URL table: names of hosts nobody wants, and of ordinary ones.
-UNWANTED = "casino poker bets betting jackpot slots pills pharma viagra adult xxx porn escort spam farm clickbait ads track tracker popunder loans payday crypto-win replica cheap free-prize win lottery warez torrent keygen".split()
-ORDINARY = "garden river library journal school museum weather kitchen history science travel music review forum daily market council archive college health sport cinema atlas harbor village botany physics recipe gazette theatre".split()
-LANGUAGES = "en de fr es".split()
-SYLLABLES = "al ber con dor el fin gar hel is jun kel lor mar nor ol per quin ros sal tor un vel wes yor zan the tion and ing re sh st ou ly".split()
-
-
-def labelled_urls() -> list[tuple[str, int]]:
-    """(url, unwanted 0/1): the built-in small table, for use where no better one is given."""
-    tail = lambda n: f"{LANGUAGES[n % 4]}/{n * 37 % 1000}{['', '/', '.html', '#top', '?page=2'][n // 4 % 5]}"
-    place = lambda n: f"http{'s' * (n % 2)}://{['www.', 'm.', 'blog.', ''][n // 2 % 4]}"
-    endings = ("com", "net", "org")
-    rows, n = [], 0
-    for i, name in enumerate(UNWANTED):
-        for j in range(12):
-            n += 1
-            other = UNWANTED[(i * 7 + j * 3 + 1) % len(UNWANTED)]
-            host = [f"{name}-{other}", f"{other}-{name}", f"{name}{j}", f"{SYLLABLES[n % len(SYLLABLES)]}-{name}"][j % 4]
-            rows.append((f"{place(n)}{host}.example.{endings[n % 3]}/{f'{other}/' * (j % 6 == 5)}{tail(n * 5 + j)}", 1))
-    for i, name in enumerate(ORDINARY):
-        for j in range(6):
-            n += 1
-            rows.append((f"{place(n)}{name}{['', ORDINARY[(i * 5 + j) % len(ORDINARY)]][j % 2]}.example.{endings[n % 3]}/{tail(n * 5 + j)}", 0))
-    for i in range(1500):  # names without meaning are ordinary
-        n += 1
-        name = "".join(SYLLABLES[(i * a + b) % len(SYLLABLES)] for a, b in ((7, 0), (11, 3), (17, 5))[: 2 + i % 2])
-        rows.append((f"{place(n)}{name}.example.{endings[n % 3]}/{tail(n * 5 + i)}", 0))
-    return rows
+#: The small labelled table that is used where no better one is given: label (1 for unwanted) and URL, each host with words of its own.
+TABLE = Path(__file__).with_name("labelled_urls.txt")
+
+
+def labelled_urls(path: Path | str = TABLE) -> list[tuple[str, int]]:
+    """(url, unwanted 0/1) of a table file."""
+    lines = (line.split("\t") for line in Path(path).read_text().splitlines())
+    return [(url, int(label)) for label, url in lines]
 
 
 def parts_of(url: Column) -> tuple[Column, Column]:
