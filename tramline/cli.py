@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.storage import stored
+from tramline.functions.storage import clean, stored
 from tramline.operators import combine, exports, reach
 from tramline.operators.feed_graph import FeedGraph, build_feed_graph
 from tramline.sources import gtfs
@@ -76,6 +76,7 @@ def main(args: list[str] | None = None) -> None:
         split(spark, a.data_dir, a.cell, a.rides_only)
     else:
         {"build": build, "combine": merge, "points": points, "geojson": geojson, "populate": populate, "components": components, "images": images}[a.command](spark, a.data_dir)
+    clean(spark)
 
 
 if __name__ == "__main__":

@@ -21,9 +21,20 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_folder(spark)}/tramline-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables; results that were not written elsewhere can't be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table that outlives executors; cuts the lineage."""
-    path = f"{shared_folder(df.sparkSession)}/tramline-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramline.functions import dates, geo, routes
-from tramline.functions.storage import shared_folder, stored
+from tramline.functions.storage import run_folder, stored
 from tramline.operators import calendar, combine, exports, feed_graph, point_reduce, reach, spatial, stops
 from tramline.operators.components import components
 from tramline.operators.feed_graph import FeedGraph
@@ -621,7 +621,7 @@ def e17_journey_agency(spark: SparkSession, d: str) -> DataFrame:
 
 def _folder(spark: SparkSession) -> str:
     """A new folder in the shared place."""
-    return f"{shared_folder(spark)}/tramline-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def _archives(spark: SparkSession, d: str) -> DataFrame:
