@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -23,6 +24,10 @@ def test_media(spark, odd, empty):
         payload = raw + b"\0" * (64 if not raw else -len(raw) % 64)
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        x = [b - 128 for b in payload]
+        f = json.loads(r.feature)
+        assert (f["samples"], f["peak"], f["sign_changes"], f["bits"], f["frames"]) == (len(x), max(map(abs, x)), sum((a < 0) != (b < 0) for a, b in zip(x, x[1:], strict=False)), 8, -(-len(x) // flac.BLOCK))
+        assert abs(f["mean"] - sum(x) / len(x)) < 1e-5 and abs(f["rms"] - (sum(v * v for v in x) / len(x)) ** 0.5) < 1e-5
     assert got[4].media_sha256 == got[5].media_sha256 and got[4].feature == got[5].feature
     blocks = flac.pcm_blocks(media).filter("doc_id = 8").orderBy("block").collect()
     assert [b.first_sample for b in blocks] == list(range(0, 4096 * len(blocks), 4096)) and b"".join(b.pcm for b in blocks) == flac.pad(ODD[8][1].encode())

@@ -12,7 +12,8 @@
    that run are taken in part.
 
 Defined results: null or empty text has size 0 and takes 0; a source without words gets target 0; repeated rows count
-each; an empty table gives an empty result; extra columns are ignored.
+each; rows with a null id stand at one place of the order and in one shard; rows with equal ids and sizes stand in no order among themselves, so of
+their texts any may be the one that is taken in part; texts of any length are read whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
