@@ -91,3 +91,43 @@ def test_cells(spark):
     stops = frame(spark, [(45.99, -122.5), (45.5, -122.5)]).withColumnRenamed("id", "stop_id")
     got = sorted(tuple(r) for r in spatial.cell_seeds(stops, 6.0).collect())
     assert got == [(45, -123, 0), (45, -123, 1), (46, -123, 0)]
+
+
+def copied(n, places, seed):
+    """Points with many copies of a place, ids in no order."""
+    rng = random.Random(seed)
+    spots = [(52 + rng.uniform(-0.001, 0.001), 13 + rng.uniform(-0.001, 0.001)) for _ in range(places)] + [(53.0, 13.0)]
+    return [rng.choice(spots) for _ in range(n)]
+
+
+def test_pairs_of_copies(spark, monkeypatch):
+    """Copies become pairs chunk by chunk, each pair once."""
+    monkeypatch.setattr(spatial, "CHUNK", 4)
+    pts = copied(150, 12, 1)
+    assert edges(spark, pts, 50) == sorted((i, j) for i in range(len(pts)) for j in range(i + 1, len(pts)) if far(pts[i], pts[j]) < 50)
+
+
+def test_ellipses_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "CHUNK", 4)
+    pts = copied(120, 10, 2)
+    inside = lambda p, q: ((p[0] - q[0]) * 111.32 / 0.05) ** 2 + ((p[1] - q[1]) * 111.32 * math.cos(math.radians(max(p[0], q[0]))) / 0.05) ** 2 < 1
+    got = sorted(tuple(x) for x in spatial.ellipse_pairs(frame(spark, pts), 0.05).collect())
+    assert got == [(i, j) for i in range(len(pts)) for j in range(i + 1, len(pts)) if inside(pts[i], pts[j])]
+
+
+def test_components_of_copies(spark):
+    """A billion links between copies are not made: only places are linked."""
+    pts = copied(150, 12, 3)
+    plain = {r.id: r.root for r in components(spatial.proximity_graph(frame(spark, pts), 50.0).selectExpr("i a", "j b")).collect()}
+    assert {r.id: r.root for r in spatial.proximity_components(frame(spark, pts), 50.0).collect()} == plain
+    many = spark.range(100_000).selectExpr("id", "45 + 0.0002 * (id % 2) as lat", "cast(id = 7 as double) as lon")
+    assert spatial.proximity_components(many, 50.0).groupBy("root").count().collect() == [(0, 99_999)]
+
+
+def test_reduce_copies(spark):
+    pts = copied(150, 30, 4)
+    got, expected = reduced(spark, pts), one_by_one(pts, 25.0)
+    assert {i: v[0] for i, v in got.items()} == {i: v[0] for i, v in expected.items()}
+    assert all(abs(got[i][k] - expected[i][k]) < 1e-9 for i in got for k in (1, 2))
+    many = spark.range(100_000).selectExpr("id", "45 + 0.0002 * (id % 2) as lat", "cast(id = 7 as double) as lon")
+    assert sorted(tuple(r) for r in point_reduce.reduce_points(many, 25.0).groupBy("rep").count().collect()) == [(0, 99_999), (7, 1)]

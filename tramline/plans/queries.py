@@ -497,8 +497,7 @@ NEAR = f"near AS (SELECT a.id AS a, b.id AS b FROM pt a JOIN pt b ON a.id <> b.i
 
 @query(f"WITH RECURSIVE {POINTS}, {NEAR}, cc(id, root) AS (SELECT DISTINCT a, a FROM near UNION SELECT near.b, cc.root FROM cc JOIN near ON near.a = cc.id) SELECT id, min(root) AS root FROM cc GROUP BY id")
 def h01_components(spark: SparkSession, d: str) -> DataFrame:
-    links = spatial.proximity_graph(_points(spark, d), 150.0)
-    return components(links.select(F.col("i").alias("a"), F.col("j").alias("b")))
+    return spatial.proximity_components(_points(spark, d), 150.0)
 
 
 CLUSTERED = """lk AS (SELECT a.row_idx AS a, b.row_idx AS b FROM g_stops a JOIN g_stops b ON a.row_idx <> b.row_idx AND a.feed_id = b.feed_id AND a.stop_name IS NOT DISTINCT FROM b.stop_name
