@@ -1,7 +1,7 @@
 import io
 import zipfile
 
-from tramline.operators import combine, exports, reach, stops
+from tramline.operators import combine, exports, feed_graph, reach, stops
 from tramline.operators.feed_graph import build_feed_graph
 from tramline.sources import graphs, gtfs
 from tramline.streaming import feeds
@@ -88,3 +88,20 @@ def test_spec_and_components(spark, tmp_path):
     assert sorted(tuple(r) for r in gtfs.read_components(spark, f"{tmp_path}/parts.json").collect()) == [(0, "a"), (0, "b"), (1, "c")]
     (tmp_path / "graph.json").write_text('{"stops": [{"stop_id": 0}], "lines": [], "journeys": [{"line_id": 1, "stops": [0, 1, 1], "times_within_day": [1, 2, 3], "days": [0]}]}')
     assert [tuple(r) for r in graphs.read_json_graph(spark, f"{tmp_path}/graph.json")["edges"].collect()] == [(0, 1, 1)]
+
+
+def test_messages_in_parts(spark, monkeypatch):
+    """A message is made and parsed in parts, and is the one that is made at once."""
+    journeys = [("x", i % 7, [i, i + 1], [i, i + 5], [0, i % 3]) for i in range(3000)] + [("nowhere", 0, [1, 2], [1, 2], [0])]
+    g = feed_graph.FeedGraph(
+        spark.createDataFrame([("x", 0, "A", 1.0, 2.0, None), ("y", 0, "B", 1.0, 2.0, 5)], "feed_id string, stop_id int, name string, lat double, lon double, minutes_used int"),
+        spark.createDataFrame([("x", 3, "L", "", 3, "a")], "feed_id string, line_id int, name string, color string, type_id int, agency_id string"),
+        spark.createDataFrame(journeys, "feed_id string, line_id int, stops array<int>, times_within_day array<int>, days array<int>"),
+    )
+    made = {r.feed_id: bytes(r.content) for r in graphs.graph_messages(g, "feed_id").collect()}
+    cut = list(graphs.pieces(made["x"] * 30))
+    assert len(cut) > 1 and b"".join(cut) == made["x"] * 30 and all(graphs.parse(c)["journeys"] for c in cut)
+    assert set(made) == {"x", "y"} and graphs.parse(made["y"])["stops"] == [{"stop_id": 0, "name": "B", "lat": 1.0, "lon": 2.0, "minutes_used": 5}]
+    assert [tuple(j.values()) for j in graphs.parse(made["x"])["journeys"]] == sorted(j[1:] for j in journeys[:-1])
+    monkeypatch.setattr(graphs, "PIECE", 100)
+    assert graphs.parsed(graphs.graph_messages(g, "feed_id")).journeys.count() == 3000

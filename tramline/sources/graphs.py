@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +58,49 @@ def parse(content: bytes) -> dict:
     }
 
 
-def serialise(stops: list[dict], lines: list[dict], journeys: list[dict]) -> bytes:
-    clean = lambda rows: [{k: v for k, v in r.items() if v is not None} for r in rows]
-    return message_class()(stops=clean(stops), lines=clean(lines), journeys=clean(journeys)).SerializeToString()
+#: Bytes of a message that are parsed at a time, about.
+PIECE = 1 << 18
+
+
+def pieces(content: bytes) -> Iterator[bytes]:
+    """A message cut between its records: each piece is a message too, and all its fields are repeated ones, so the pieces together say the same."""
+    start = at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while at < len(content):
+            byte = content[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                break
+        return value
+
+    while at < len(content):
+        kind = varint() & 7
+        if kind == 0:
+            varint()
+        elif kind in (1, 2, 5):
+            length = {1: 8, 5: 4}.get(kind) or varint()  # which moves on, too
+            at += length
+        else:
+            at = len(content)  # no record: the parser says what is wrong
+        if at - start >= PIECE:
+            yield content[start:at]
+            start = at
+    if start < len(content):
+        yield content[start:]
+
+
+def serialise(name: str, batch: pa.RecordBatch, fields: list[str]) -> bytes:
+    """The batch's rows as records of the message's field ``name``."""
+    message = message_class()()
+    add = getattr(message, name).add
+    for row in zip(*(batch.column(f).to_pylist() for f in fields), strict=True):
+        add(**{f: v for f, v in zip(fields, row, strict=True) if v is not None})
+    return message.SerializeToString()
 
 
 def read_graph_files(spark: SparkSession, path: str, skip: str = r"^graphs_all") -> FeedGraph:
@@ -71,34 +111,73 @@ def read_graph_files(spark: SparkSession, path: str, skip: str = r"^graphs_all")
 
 
 def parsed(messages: DataFrame) -> FeedGraph:
-    """The graphs in messages (feed_id, content)."""
-    ship(messages.sparkSession)
+    """The graphs in messages (feed_id, content). A message is parsed piece by piece."""
+    spark = messages.sparkSession
+    ship(spark)
+    schema = f"feed_id string, stops array<{STOP}>, lines array<{LINE}>, journeys array<{JOURNEY}>"
+    ints = pa.list_(pa.int32())
+    types = {
+        "stops": [("stop_id", pa.int32()), ("name", pa.string()), ("lat", pa.float64()), ("lon", pa.float64()), ("minutes_used", pa.int32())],
+        "lines": [("line_id", pa.int32()), ("name", pa.string()), ("color", pa.string()), ("type_id", pa.int32()), ("agency_id", pa.string())],
+        "journeys": [("line_id", pa.int32()), ("stops", ints), ("times_within_day", ints), ("days", ints)],
+    }
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame([{"feed_id": f, **parse(c)} for f, c in zip(batch["feed_id"], batch["content"], strict=True)], columns=["feed_id", "stops", "lines", "journeys"])
+            for f, c in zip(batch.column("feed_id").to_pylist(), batch.column("content"), strict=True):
+                for piece in pieces(c.as_py()):
+                    got = parse(piece)
+                    yield pa.RecordBatch.from_arrays([pa.array([f], pa.string()), *(pa.array([got[n]], pa.list_(pa.struct(t))) for n, t in types.items())], names=["feed_id", *types])
 
-    whole = messages.mapInPandas(run, f"feed_id string, stops array<{STOP}>, lines array<{LINE}>, journeys array<{JOURNEY}>")
+    whole = messages.select("feed_id", "content").mapInArrow(run, schema)
     part = lambda c: whole.select("feed_id", F.explode(c).alias("x")).select("feed_id", "x.*")
     return FeedGraph(part("stops"), part("lines"), part("journeys"))
 
 
+def _parts(name: str, df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., kind, part, content): the rows in order as messages of a batch of rows each, numbered in that order."""
+    kind, fields = list(FeedGraph._fields).index(name), [f for f, _, _ in MESSAGES[name.capitalize().removesuffix("s")]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            of = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            starts = [i for i in range(len(of)) if not i or of[i] != of[i - 1]]
+            for a, b in zip(starts, [*starts[1:], len(of)], strict=True):
+                content = serialise(name, batch.slice(a, b - a), fields)
+                cols = [*(batch.column(k).slice(a, 1) for k in keys), pa.array([kind], pa.int32()), pa.array([part], pa.int64()), pa.array([content], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "kind", "part", "content"])
+                part += 1
+
+    schema = ", ".join([*(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys), "kind int, part long, content binary"])
+    return df.select(*keys, *(f for f in fields if f not in keys)).orderBy(*keys, *fields).mapInArrow(run, schema)
+
+
 def graph_messages(graph: FeedGraph, *keys: str) -> DataFrame:
-    """(keys..., content): a message for each feed or cell. A message holds one feed or cell whole, as the format wants it."""
+    """(keys..., content): a message for each feed or cell with a stop. A message holds one feed or cell whole, as the format wants it.
+
+    Its records are made in small parts all over the cluster, in order; only the bytes of a message come together in one task.
+    """
     ship(graph.stops.sparkSession)
-    cols = {"stops": [f for f, _, _ in MESSAGES["Stop"]], "lines": [f for f, _, _ in MESSAGES["Line"]], "journeys": [f for f, _, _ in MESSAGES["Journey"]]}
-    stops, lines, journeys = (df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*cols[n]))).alias(n)) for n, df in graph._asdict().items())
-    whole = stops.join(lines, list(keys), "left").join(journeys, list(keys), "left")
+    parts = reduce(DataFrame.unionByName, (_parts(n, df, list(keys)) for n, df in graph._asdict().items()))
+    parts = parts.join(graph.stops.select(*keys).distinct(), list(keys), "left_semi")
+    schema = ", ".join([*(f"{k} {parts.schema[k].dataType.simpleString()}" for k in keys), "content binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(keys)
+        now, own, content = None, None, bytearray()
+        row = lambda: pa.RecordBatch.from_arrays([*own, pa.array([bytes(content)], pa.binary())], names=[*keys, "content"])
         for batch in batches:
-            for at in range(batch.num_rows):
-                content = serialise(*(batch.column(n + k)[at].as_py() or [] for k in range(3)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(at, 1) for k in range(n)), pa.array([content], pa.binary())], names=[*keys, "content"])
-
-    whole = whole.select(*keys, "stops", "lines", "journeys")
-    return whole.mapInArrow(run, ", ".join([*(f"{k} {whole.schema[k].dataType.simpleString()}" for k in keys), "content binary"]))
+            of = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            for at, key in enumerate(of):
+                if key != now:
+                    if now is not None:
+                        yield row()
+                    now, own, content = key, [pa.array([batch.column(k)[at].as_py()], batch.column(k).type) for k in keys], bytearray()
+                content += batch.column("content")[at].as_buffer()
+        if now is not None:
+            yield row()
+
+    return parts.repartition(*keys).sortWithinPartitions(*keys, "kind", "part").select(*keys, "content").mapInArrow(run, schema)
 
 
 def read_json_graph(spark: SparkSession, path: str) -> dict[str, DataFrame]:
