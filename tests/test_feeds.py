@@ -105,3 +105,12 @@ def test_messages_in_parts(spark, monkeypatch):
     assert [tuple(j.values()) for j in graphs.parse(made["x"])["journeys"]] == sorted(j[1:] for j in journeys[:-1])
     monkeypatch.setattr(graphs, "PIECE", 100)
     assert graphs.parsed(graphs.graph_messages(g, "feed_id")).journeys.count() == 3000
+
+
+def test_cells_of_journeys(spark):
+    """A row per journey, with its cells; rows per cell and journey are made only when they are written."""
+    reached = spark.createDataFrame([(45, -122, 0, 0), (45, -122, 2, 1), *((46, -122, i, i) for i in range(3))], "lat_floor int, lon_floor int, stop_id int, new_id int")
+    journeys = spark.createDataFrame([(5, [0, 2, 0], [1, 2, 3], [0]), (6, [0, 1], [1, 2], [0]), (7, [0, 9], [1, 2], [0])], "line_id int, stops array<int>, times_within_day array<int>, days array<int>")
+    a, b = 45 * 65536 - 122 + 32768, 46 * 65536 - 122 + 32768
+    got = sorted((r.line_id, r.stops, r.cells, r.gaps) for r in reach.cells_of_journeys(reached, journeys).collect())
+    assert got == [(5, [0, 2, 0], [a, b], [[0, 1, 0], [0, 0, 0]]), (6, [0, 1], [b], [[0, 0]])]

@@ -485,8 +485,7 @@ def e16_cell_lines(spark: SparkSession, d: str) -> DataFrame:
 @query(f"{WALKED} SELECT lat_floor, lon_floor, row_number() OVER (PARTITION BY lat_floor, lon_floor ORDER BY reach.stop_id) - 1 AS stop_id, stop_name AS name, minutes_used FROM reach JOIN v_ok ON v_ok.gid = reach.stop_id")
 def g05_cell_stops(spark: SparkSession, d: str) -> DataFrame:
     g = whole(spark, d)
-    sub = reach.cell_subgraphs(_walked(g), *g)
-    return sub[0].select(*reach.CELL, F.col("stop_id").cast("long").alias("stop_id"), "name", "minutes_used")
+    return reach.cell_stops(_walked(g), g.stops).select(*reach.CELL, F.col("new_id").cast("long").alias("stop_id"), "name", "minutes_used")
 
 
 # --- clusters
