@@ -73,6 +73,41 @@ def test_wasted_bits(kind):
     assert [b for _, _, b in flac.decode_many([stream])[0][1]] == [(samples + 128).astype(np.uint8).tobytes()]
 
 
+def test_residuals_of_many_frames_are_read_together(monkeypatch):
+    """Codes of all frames at once against a loop over the bits; none of our own frames is read alone, and parts of any size give the same."""
+    rng = random.Random(5)
+    rows, spans, body = [], [], b""
+    for n, k in ((1, 0), (0, 3), (700, 14), (64, 1), (4096, 0), (33, 6)):
+        values = [rng.choice((rng.randrange(-(1 << k), 1 << k), rng.randrange(-40, 40))) for _ in range(n)]
+        head = rng.randrange(0, 9)
+        code = "1" * head
+        for v in values:
+            folded = v * 2 if v >= 0 else -v * 2 - 1
+            code += "0" * (folded >> k) + "1" + (format(folded & ((1 << k) - 1), f"0{k}b") if k else "")
+        code += "0" * (-len(code) % 8)
+        spans.append((8 * len(body) + head, 8 * len(body) + len(code), k, n))
+        body += bytes(int(code[i : i + 8], 2) for i in range(0, len(code), 8))
+        rows.append(values)
+    data = np.frombuffer(body, np.uint8)
+    columns = [np.array(x, np.int64) for x in zip(*spans, strict=True)]
+    assert [x.tolist() for x in flac._codes_lanes(data, np.unpackbits(data), *columns)] == rows
+    for i in (2, 5):  # a frame inside, and the last one, with one code too many
+        more = columns[3].copy()
+        more[i] += 1
+        with pytest.raises(flac.Damaged, match="out of the frame"):
+            flac._codes_lanes(data, np.unpackbits(data), *columns[:3], more)
+
+    def alone(*_):
+        raise AssertionError("a frame of our own was read alone")
+
+    monkeypatch.setattr(flac, "_codes", alone)
+    payloads = [flac.pad(prose(i, 1 + 900 * i).encode()) for i in range(9)]
+    streams = flac.encode_many(payloads)
+    for part in (1, 5000, 1 << 20):
+        monkeypatch.setattr(flac, "PART", part)
+        assert [b"".join(b for _, _, b in blocks) for _, blocks in flac.decode_many(streams)] == payloads
+
+
 def test_damage():
     s = bytearray(flac.encode(flac.pad(prose(3, 3000).encode())))
     for at in (len(s) // 2, len(s) - 1):

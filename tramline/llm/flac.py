@@ -2,7 +2,7 @@
 
 The decoder reads the stream's metadata (STREAMINFO with the MD5 of the samples, SEEKTABLE), finds the frames, verifies each frame's header CRC-8 and footer
 CRC-16, decodes constant, verbatim, fixed and LPC subframes with Rice-coded residuals, and checks the MD5. The serial parts run over many frames in
-parallel lanes: Rice codes by following precomputed jumps from code to code, CRCs and linear prediction one step for all frames at a time.
+parallel lanes: Rice codes, CRCs and linear prediction one step for all frames at a time (several partitions in a frame by precomputed jumps from code to code).
 
 Defined results: null is the empty text; texts are padded with bytes 0 to a positive multiple of 64 bytes, so no stream is empty; equal texts give
 equal streams; a damaged stream raises an error that names the frame; repeated rows get equal results; an empty table gives an empty result; extra
@@ -16,6 +16,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ UNIT = 64
 LPC_ORDER = 2
 PRECISION = 12
 LANES = 512
+#: Bytes of frames that are read at a time, about.
+PART = 1 << 20
 #: Predictor coefficients of the fixed subframes of order 0 to 4.
 FIXED = [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]]
 
@@ -282,10 +285,66 @@ def _codes(bits: np.ndarray, at: int, k: int, n: int) -> tuple[np.ndarray, int]:
     return (folded >> 1) ^ -(folded & 1), at + (int(ends[-1]) if n else 0)
 
 
-def _read_subframe(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, list[int], int, int]:
+class Codes(NamedTuple):
+    """A residual that is still to be read: ``n`` Rice codes with parameter ``k`` from bit ``at`` of the frame on."""
+
+    at: int
+    k: int
+    n: int
+
+
+def _codes_lanes(data: np.ndarray, bits: np.ndarray, start: np.ndarray, stop: np.ndarray, k: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """The residuals of many frames in ``data``, one code of all frames at a time: ``size`` codes each, from bit ``start`` up to ``stop`` at most."""
+    if (start > stop).any():
+        raise Damaged("residual runs out of the frame")
+    total = len(bits)
+    ones = np.append(np.flatnonzero(bits.view(bool)), total).astype(np.int32)  # past the last one there is no end of a code
+    rank = np.full(total + 32, len(ones) - 1, np.int32)  # of each bit: how many ones there are before it
+    rank[0] = 0
+    np.cumsum(bits[:-1], dtype=np.int32, out=rank[1:total])
+    order = np.argsort(-size, kind="stable")
+    start, stop, k, left = start[order].astype(np.int32), stop[order], k[order].astype(np.int32), size[order]
+    steps = int(left.max(initial=0))
+    hits, here, after = np.zeros((steps, len(left)), np.int32), start, k + 1
+    for t, m in enumerate(np.searchsorted(-left, -np.arange(steps), side="left").tolist()):  # lanes that have more codes
+        hit = ones[rank[here[:m]]]
+        hits[t, :m] = hit
+        here = hit + after[:m]
+    hit = hits.T[np.arange(steps) < left[:, None]]  # lane by lane
+    width, first = np.repeat(k, left), np.cumsum(left) - left
+    low_at = hit + 1
+    before = np.empty_like(hit)
+    before[1:] = (low_at + width)[:-1]
+    some = left > 0
+    before[first[some]] = start[some]
+    if (low_at[(first + left - 1)[some]] + k[some] > stop[some]).any():
+        raise Damaged("residual runs out of the frame")
+    wide = np.append(data, np.zeros(3, np.uint8)).astype(np.int32)
+    window = wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]  # a parameter has at most 14 bits
+    low = window[low_at >> 3] >> (24 - (low_at & 7) - width) & ((1 << width) - 1)
+    folded = (hit - before) << width | low
+    out: list = [None] * len(left)
+    for i, e in zip(order.tolist(), np.split(((folded >> 1) ^ -(folded & 1)).astype(np.int64), first[1:]), strict=True):
+        out[i] = e
+    return out
+
+
+def _read_frames(data: np.ndarray, frames: list[tuple[int, int, int]]) -> list[tuple[np.ndarray, np.ndarray, list[int], int, int]]:
+    """_read_subframe() of many (first byte, end, samples) in ``data``, with all residuals read."""
+    bits = np.unpackbits(data)
+    read = [_read_subframe(bits[8 * a : 8 * b], n) for a, b, n in frames]
+    late = [i for i, r in enumerate(read) if isinstance(r[1], Codes)]
+    if late:
+        start, stop, k, size = (np.array(x, np.int64) for x in zip(*((8 * frames[i][0] + read[i][1].at, 8 * frames[i][1], read[i][1].k, read[i][1].n) for i in late), strict=True))
+        for i, e in zip(late, _codes_lanes(data, bits, start, stop, k, size), strict=True):
+            read[i] = (read[i][0], e, *read[i][2:])
+    return read
+
+
+def _read_subframe(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray | Codes, list[int], int, int]:
     """(warm-up samples, residual, coefficients, shift, wasted bits); samples without a predictor come as a residual of order 0.
 
-    Wasted bits are low bits that are 0 in all samples of the frame; samples are coded without them.
+    Wasted bits are low bits that are 0 in all samples of the frame; samples are coded without them. A residual in one partition is left to be read with those of other frames.
     """
     code, at, wasted = _number(bits, 1, 6), 8, 0
     if bits[0]:
@@ -327,6 +386,8 @@ def _read_subframe(bits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, li
         raise Damaged("reserved residual coding")
     width = 4 + method
     at += 6
+    if parts == 1 and not method and (k := _number(bits, at, 4)) < 15:
+        return warm, Codes(at + 4, k, n - order), coefficients, shift, wasted
     out = []
     for i in range(parts):
         m = n // parts - (order if i == 0 else 0)
@@ -394,9 +455,14 @@ def decode_many(streams: list[bytes]) -> list[tuple[dict, list[tuple[int, int, b
     stored = joined[start + size].astype(np.uint16) << 8 | joined[start + size + 1]
     if (bad := np.flatnonzero(crc16_lanes(joined, start, size) != stored)).size:
         raise Damaged(f"checksum of frame {int(bad[0])}")
-    for (_, own, _), data in zip(read, streams, strict=True):
-        for _, b, body, _, n in own:
-            frames.append(_read_subframe(np.unpackbits(np.frombuffer(data, np.uint8, b - 2 - body, body)), n))
+    spans = [(int(base[i]) + body, int(base[i]) + b - 2, n) for i, (_, own, _) in enumerate(read) for _, b, body, _, n in own]
+    a = 0
+    while a < len(spans):  # a long text's frames are taken some at a time
+        at, b = spans[a][0], a + 1
+        while b < min(len(spans), a + LANES) and spans[b][1] - at <= PART:
+            b += 1
+        frames += _read_frames(joined[at : spans[b - 1][1]], [(x - at, y - at, n) for x, y, n in spans[a:b]])
+        a = b
     samples = iter(_predicted(frames))
     out = []
     for info, own, first_frame in read:
