@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from contextlib import suppress
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +41,9 @@ def unit_interval(*parts: Column | str | int) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once a row, also where the body's own lambdas use it again and again."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def give_back() -> None:
+    """Hands freed memory back to the system, where the C library can; an idle Python worker would else keep what its largest batch took."""
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)

@@ -21,7 +21,7 @@ BLANK_MARK, OWN_MARK = 0x2581, 0x110001
 #: Pieces are taken to follow a Zipf-Mandelbrot law in the order of the vocabulary's scores.
 ZIPF_SHIFT = 2.7
 MAX_UNITS = 250_000
-MAX_EDGES = 4_000_000
+MAX_EDGES = 2_000_000
 #: Largest value of -log(-log(u)), with a margin.
 GUMBEL_REACH = 45.0
 STEP = U((BASE * 7) % (1 << 64) | 1)
@@ -135,7 +135,9 @@ class Growing:
 
     def add(self, more: np.ndarray) -> None:
         if self.n + len(more) > len(self.data):
-            self.data = np.concatenate([self.data[: self.n], np.zeros(max(self.n, len(more)) * 5 // 4, self.data.dtype)])
+            wider = np.empty(self.n + max(self.n, len(more)) * 5 // 4, self.data.dtype)  # the room takes no memory before it is used
+            wider[: self.n] = self.data[: self.n]
+            self.data = wider
         self.data[self.n : self.n + len(more)] = more
         self.n += len(more)
 

@@ -72,12 +72,12 @@ def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, U)
 
 
-def chunks(texts: list[bytes | None]) -> Iterator[list[bytes]]:
-    """Runs of texts of about CHUNK_BYTES, so that working arrays stay small; null is empty."""
+def chunks(texts: list[bytes | None], most: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+    """Runs of texts of about ``most`` bytes, so that working arrays stay small; null is empty, and a longer text is a run of its own."""
     held, size = [], 0
     for t in texts:
         t = t or b""
-        if held and size + len(t) > CHUNK_BYTES:
+        if held and size + len(t) > most:
             yield held
             held, size = [], 0
         held.append(t)
